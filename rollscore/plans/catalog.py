@@ -1,169 +1,17 @@
-"""Registered queries: name -> Spark job over the given tables, plus the
-DuckDB SQL that states the expected result independently.
+"""All registered queries: name -> Spark job over the given tables, plus the
+DuckDB SQL that states the expected result independently (where SQL can).
 
 Every query reads whole driver tables (or tables Spark derives from them),
 so its work grows with the scale factor. Doubles in reports are rounded to
-1e-9 (:func:`report_double`) in both engines.
+1e-9 (``report_double``) in both engines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions import text as X
-from ..functions._util import report_double
-from ..operators import evals as E
-from ..operators.scoring import score, stage_answers
-from . import fixtures as FX
-from .oracle import ROLLOUT_PARTS, rd, reward_sql, with_ctes
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        if name in QUERIES:
-            raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-
-    return deco
-
-
-ROLL_KEYS = ["run_id", "step", "task_id", "slot"]
-_RK = ", ".join(ROLL_KEYS)
-
-
-def _staged(spark: SparkSession, sf: str, strategy: str = "batch") -> DataFrame:
-    return stage_answers(FX.rollouts_with_tasks(spark, sf), eval_strategy=strategy)
-
-
-# --- F1-F8: answer parsing and checks ------------------------------------
-
-register("extract_answer", with_ctes(ROLLOUT_PARTS, f"SELECT {_RK}, x_equation AS equation FROM answers"))(
-    lambda spark, sf: _staged(spark, sf).select(*ROLL_KEYS, "equation")
-)
-
-register("validate_numbers", with_ctes(ROLLOUT_PARTS,
-    f"SELECT {_RK}, CASE WHEN x_equation IS NULL THEN false ELSE x_numbers_ok END AS numbers_ok FROM answers"))(
-    lambda spark, sf: _staged(spark, sf).select(*ROLL_KEYS, "numbers_ok")
-)
-
-register("evaluate_equation", with_ctes(ROLLOUT_PARTS, f"SELECT {_RK}, {rd('x_result')} AS result FROM answers"))(
-    lambda spark, sf: _staged(spark, sf).select(*ROLL_KEYS, report_double(F.col("result")).alias("result"))
-)
-
-register("evaluate_equation_distinct", ORACLES["evaluate_equation"])(
-    lambda spark, sf: _staged(spark, sf, "distinct").select(*ROLL_KEYS, report_double(F.col("result")).alias("result"))
-)
-
-register("matched_numbers", with_ctes(ROLLOUT_PARTS,
-    f"SELECT {_RK}, CASE WHEN x_equation IS NULL THEN 0 ELSE x_n_matched END AS n_matched, "
-    f"{rd('CASE WHEN x_equation IS NULL THEN 0 ELSE x_n_matched END / n_nums')} AS matched_share FROM answers"))(
-    lambda spark, sf: _staged(spark, sf).select(
-        *ROLL_KEYS, "n_matched",
-        report_double(F.try_divide(F.col("n_matched").cast("double"), F.col("n_nums").cast("double"))).alias("matched_share"),
-    )
-)
-
-register("tag_flags", with_ctes(ROLLOUT_PARTS,
-    f"SELECT {_RK}, kind <> 2 AS has_answer, x_has_think AS has_think, "
-    f"kind <> 2 AND x_has_think AS has_both FROM answers"))(
-    lambda spark, sf: FX.rollouts(spark, sf).select(
-        *ROLL_KEYS,
-        X.has_answer_tags("response").alias("has_answer"),
-        X.has_think_tags("response").alias("has_think"),
-        (X.has_answer_tags("response") & X.has_think_tags("response")).alias("has_both"),
-    )
-)
-
-_RE2_NOT_WS = X.NOT_WS.replace("\\x{", "\\x{")  # same class syntax in RE2
-
-register("word_count",
-    f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{_RE2_NOT_WS}+')) AS BIGINT) AS n_words FROM documents")(
-    lambda spark, sf: FX.read_table(spark, sf, "documents").select(
-        "doc_id", X.word_count("text").cast("bigint").alias("n_words"))
-)
-
-register("text_answer_null_path",
-    "SELECT conv_id, turn, CAST(NULL AS VARCHAR) AS equation, "
-    "contains(text, '<answer>') AND contains(text, '</answer>') AS has_answer, "
-    "contains(text, '<think>') AND contains(text, '</think>') AS has_think FROM conversations WHERE role = 'assistant'")(
-    lambda spark, sf: FX.read_table(spark, sf, "conversations").where(F.col("role") == "assistant").select(
-        "conv_id", "turn", X.extract_answer("text").alias("equation"),
-        X.has_answer_tags("text").alias("has_answer"), X.has_think_tags("text").alias("has_think"))
-)
-
-# --- R0-R6: reward rules ---------------------------------------------------
-
-_REWARD_SCALES = {"sparse": None, "hybrid": 5.0, "graded": 5.0, "format": None, "reason": 5.0,
-                  "signed5": 5.0, "signed10": 10.0}
-
-
-def _reward_query(rule: str) -> Query:
-    def q(spark: SparkSession, sf: str) -> DataFrame:
-        scored = score(FX.rollouts_with_tasks(spark, sf), reward=rule, scale=_REWARD_SCALES[rule])
-        return scored.select(*ROLL_KEYS, report_double(F.col("reward")).alias("reward"))
-
-    return q
-
-
-for _rule in _REWARD_SCALES:
-    register(f"reward_{_rule}", with_ctes(ROLLOUT_PARTS, f"SELECT {_RK}, {rd(reward_sql(_rule))} AS reward FROM answers"))(
-        _reward_query(_rule)
-    )
-
-# --- G1/G2: evaluation summaries -------------------------------------------
-
-_SUMMARY_RULE = {"exact": "hybrid", "remainder": "graded", "range": "signed10"}
-
-
-def _bucket_sql(rule: str) -> tuple[str, str, str]:
-    c = "abs(r - 1.0) < 1e-8"
-    f0 = "abs(r - 0.0) < 1e-8"
-    if rule == "exact":
-        return c, "abs(r - 0.1) < 1e-8", f0
-    if rule == "remainder":
-        return c, f"NOT ({c}) AND NOT ({f0})", f0
-    return c, "r > 0.0 AND r < 1.0 - 1e-8", "r <= 0.0"
-
-
-def _summary_sql(rule: str) -> str:
-    c, p, f = _bucket_sql(rule)
-    body = f"""
-, rewarded AS (SELECT run_id, step, output_tokens, {reward_sql(_SUMMARY_RULE[rule])} AS r FROM answers)
-SELECT run_id, step, {rd('avg(r)')} AS mean_reward, {rd('coalesce(stddev_samp(r), 0.0)')} AS std_reward,
-       count(*) AS num_examples, count_if({c}) AS count_correct, count_if({p}) AS count_partial,
-       count_if({f}) AS count_failed, {rd('CAST(count_if(' + c + ') AS DOUBLE) / count(*) * 100.0')} AS accuracy,
-       {rd('avg(output_tokens)')} AS avg_output_tokens
-FROM rewarded GROUP BY run_id, step"""
-    return "WITH " + ROLLOUT_PARTS.strip() + body
-
-
-def _summary_query(rule: str) -> Query:
-    def q(spark: SparkSession, sf: str) -> DataFrame:
-        scored = score(FX.rollouts_with_tasks(spark, sf), reward=_SUMMARY_RULE[rule])
-        s = E.eval_summary(scored, ("run_id", "step"), rule)
-        return s.select(
-            "run_id", "step",
-            *[report_double(F.col(c)).alias(c) for c in ("mean_reward", "std_reward")],
-            "num_examples", "count_correct", "count_partial", "count_failed",
-            report_double(F.col("accuracy")).alias("accuracy"),
-            report_double(F.col("avg_output_tokens")).alias("avg_output_tokens"),
-        )
-
-    return q
-
 
-for _r in _SUMMARY_RULE:
-    register(f"eval_summary_{_r}", _summary_sql(_r))(_summary_query(_r))
+from . import q_scoring, q_tokens  # noqa: F401  (register queries)
+from .registry import ORACLES, QUERIES, register  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:

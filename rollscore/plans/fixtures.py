@@ -108,3 +108,45 @@ def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollouts_with_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rollouts already carrying ``target`` and ``nums`` (no join needed)."""
     return rollout_parts(spark, sf_dir).select(*ROLLOUT_COLUMNS, "target", "nums")
+
+
+# --- token ids and log-prob arrays (T1-T13) --------------------------------
+
+TOKEN_EOS = 1000
+TOKEN_PAD = 1000
+
+
+def _index_array(n: Column, fn) -> Column:
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), n.cast("bigint") - 1), fn)
+
+
+def token_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollout keys with prompt and output token ids (ids 0..999)."""
+    r = rollout_parts(spark, sf_dir)
+    t, s = F.col("task_id"), F.col("slot")
+    p_len = F.lit(3) + t % 5
+    o_len = F.lit(1) + (t + s) % 6
+    return r.select(
+        "run_id", "step", "task_id", "prompt_ord", "slot",
+        _index_array(p_len, lambda i: ((t * 17 + i * 29) % 1000).cast("int")).alias("prompt_ids"),
+        _index_array(o_len, lambda i: ((t * 13 + s * 7 + i * 31) % 1000).cast("int")).alias("output_ids"),
+    )
+
+
+def logprob_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollouts (with target, nums, response) plus policy / old / reference
+    log-prob arrays and a response mask of length ``4 + task_id % 9``."""
+    r = rollout_parts(spark, sf_dir)
+    t, s = F.col("task_id"), F.col("slot")
+    n = F.lit(4) + t % 9
+
+    def lp(a: int, b: int, c: int) -> Column:
+        return _index_array(n, lambda i: -((t * a + s * b + i * c) % 50).cast("double") / F.lit(10.0))
+
+    return r.select(
+        *ROLLOUT_COLUMNS, "target", "nums",
+        lp(31, 7, 13).alias("policy_log_probs"),
+        lp(11, 5, 17).alias("old_log_probs"),
+        lp(19, 3, 23).alias("ref_log_probs"),
+        _index_array(n, lambda i: i >= t % 3).alias("response_mask"),
+    )
