@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_scoring, q_tokens  # noqa: F401  (register queries)
+from . import q_prompts, q_scoring, q_tokens  # noqa: F401  (register queries)
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 
 

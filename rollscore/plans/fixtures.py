@@ -83,15 +83,24 @@ def _response(kind: Column, e: Column) -> Column:
     )
 
 
+def _kind(slot: Column) -> Column:
+    return F.when(F.col("task_id") % 10 == 9, 2).otherwise((F.col("task_id") * 3 + slot) % 10)
+
+
+def _e() -> Column:
+    return F.concat(_s(F.col("n1")), F.lit(" + "), _s(F.col("n2")), F.lit(" - "), _s(F.col("n3")), F.col("tail"))
+
+
 def rollout_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rollouts with task helper columns (P10 expansion: G adjacent slots)."""
     t = task_parts(spark, sf_dir)
     r = t.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(GROUP_SIZE - 1).cast("bigint"))).alias("slot"))
-    kind = F.when(F.col("task_id") % 10 == 9, 2).otherwise((F.col("task_id") * 3 + F.col("slot")) % 10)
-    e = F.concat(_s(F.col("n1")), F.lit(" + "), _s(F.col("n2")), F.lit(" - "), _s(F.col("n3")), F.col("tail"))
+    kind = _kind(F.col("slot"))
+    e = _e()
     return r.select(
         "*",
         kind.cast("bigint").alias("kind"),
+        e.alias("e"),
         _response(kind, e).alias("response"),
         (F.lit(4) + (F.col("task_id") * 5 + F.col("slot") * 3) % 60).cast("bigint").alias("output_tokens"),
     )
@@ -150,3 +159,29 @@ def logprob_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         lp(19, 3, 23).alias("ref_log_probs"),
         _index_array(n, lambda i: i >= t % 3).alias("response_mask"),
     )
+
+
+def nested_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generator-shaped records: one row per prompt with ``outputs`` =
+    ``[{text}, ...]`` (G entries; empty for task_id % 7 == 0)."""
+    t = task_parts(spark, sf_dir)
+    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(GROUP_SIZE - 1).cast("bigint"))
+    outputs = F.transform(slots, lambda s: F.struct(_response(_kind(s), _e()).alias("text")))
+    empty = F.array().cast("array<struct<text:string>>")
+    return t.select("run_id", "step", "task_id",
+                    F.when(F.col("task_id") % 7 == 0, empty).otherwise(outputs).alias("outputs"))
+
+
+def sft_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fine-tuning rows: completions of kinds 0, 1, 7; ``solution`` = the
+    equation, ``result`` = its value, ``is_exact`` = target reached."""
+    r = rollout_parts(spark, sf_dir).where(F.col("kind").isin(0, 1, 7))
+    return r.select(
+        "task_id", "slot",
+        F.when(F.col("task_id") % 10 == 3, "validation").otherwise("train").alias("split"),
+        "target", "nums",
+        F.col("e").alias("solution"),
+        F.col("response").alias("completion"),
+        F.col("base").cast("double").alias("result"),
+        (F.col("target") == F.col("base")).alias("is_exact"),
+    )
