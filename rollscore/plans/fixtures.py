@@ -185,3 +185,15 @@ def sft_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("base").cast("double").alias("result"),
         (F.col("target") == F.col("base")).alias("is_exact"),
     )
+
+
+def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation history from ``events``: run = user_id % 5, step = event_id,
+    category = event_type, score = value."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        (F.col("user_id") % 5).alias("run_id"),
+        F.col("event_type").alias("category"),
+        F.col("event_id").alias("step"),
+        F.col("value").cast("double").alias("score"),
+    )
