@@ -32,11 +32,15 @@ def _char_class_body(codepoints: list[int]) -> str:
 
 
 # Whitespace exactly as Python's ``str.isspace`` / ``re`` ``\s`` / ``str.split()``
-# understand it (this includes U+001C..U+001F, which Java's ``\s`` does not).
-# Built from the rule itself rather than listed by hand.
+# understand it: the Unicode White_Space property plus U+001C..U+001F (which
+# Java's ``\s`` lacks). Java gets the two-part class (one property lookup per
+# character); the explicit list, built from the rule, serves engines without
+# Unicode properties (the RE2 oracle) and the consistency test.
 PY_SPACE_CODEPOINTS = [c for c in range(sys.maxunicode + 1) if chr(c).isspace()]
-WS = "[" + _char_class_body(PY_SPACE_CODEPOINTS) + "]"
-NOT_WS = "[^" + _char_class_body(PY_SPACE_CODEPOINTS) + "]"
+WS = r"[\p{IsWhite_Space}\x{1c}-\x{1f}]"
+NOT_WS = r"[^\p{IsWhite_Space}\x{1c}-\x{1f}]"
+WS_EXPLICIT = "[" + _char_class_body(PY_SPACE_CODEPOINTS) + "]"
+NOT_WS_EXPLICIT = "[^" + _char_class_body(PY_SPACE_CODEPOINTS) + "]"
 
 # Fixed values that must equal the reference: the answer and reasoning tags.
 ANSWER_OPEN = "<answer>"
@@ -44,18 +48,41 @@ ANSWER_CLOSE = "</answer>"
 THINK_OPEN = "<think>"
 THINK_CLOSE = "</think>"
 
-# Content of an answer tag: case-insensitive (Unicode case folding, as Python's
-# re.IGNORECASE), dot matches newline, surrounding whitespace excluded.
-ANSWER_PATTERN = f"(?isu)<answer>{WS}*(.*?){WS}*</answer>"
+
+
+def _ignorecase_class(ch: str) -> str:
+    """Every character Python's ``re.IGNORECASE`` matches for ``ch`` (for
+    example ``s`` also matches U+017F), as an explicit class. Spelling the
+    tag out this way keeps Python's semantics without Java's slow
+    Unicode case-insensitive mode."""
+    import re
+
+    p = re.compile(re.escape(ch), re.IGNORECASE)
+    cps = [c for c in range(sys.maxunicode + 1) if p.fullmatch(chr(c))]
+    return "[" + _char_class_body(cps) + "]"
+
+
+def _tag_pattern(word: str) -> str:
+    return "".join(_ignorecase_class(c) if c.isalpha() else c for c in word)
+
+
+# Content of an answer tag: case-insensitive (as Python's re.IGNORECASE), dot
+# matches newline, surrounding whitespace excluded.
+ANSWER_PATTERN = f"(?s){_tag_pattern('<answer>')}{WS}*(.*?){WS}*{_tag_pattern('</answer>')}"
 
 
 def extract_answer(text) -> Column:
     """content of the **last** ``<answer>..</answer>``, trimmed.
 
     NULL when the text is NULL/empty or has no tag; ``""`` for an empty tag.
+    A plain substring test on the lower-cased text (``"</an"`` has no other
+    case-insensitive spellings) skips the regex for text without a closing
+    tag, the common case in long documents.
     """
-    matches = F.regexp_extract_all(as_col(text), F.lit(ANSWER_PATTERN), 1)
-    return F.when(F.size(matches) > 0, F.try_element_at(matches, F.lit(-1)))
+    t = as_col(text)
+    matches = F.regexp_extract_all(t, F.lit(ANSWER_PATTERN), 1)
+    candidate = F.instr(F.lower(t), "</an") > 0
+    return F.when(candidate, F.try_element_at(matches, F.lit(-1)))
 
 
 def has_answer_tags(text) -> Column:

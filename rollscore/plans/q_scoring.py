@@ -70,7 +70,7 @@ register("tag_flags", with_ctes(ROLLOUT_PARTS,
     )
 )
 
-_RE2_NOT_WS = X.NOT_WS.replace("\\x{", "\\x{")  # same class syntax in RE2
+_RE2_NOT_WS = X.NOT_WS_EXPLICIT  # RE2 has no White_Space property; same set listed
 
 register("word_count",
     f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{_RE2_NOT_WS}+')) AS BIGINT) AS n_words FROM documents")(

@@ -127,3 +127,16 @@ def test_stop_truncate_and_strip(spark):
     df = spark.createDataFrame([("a</answer>b</answer>", "  x y\u001c\n")], "r string, s string")
     row = df.select(X.truncate_at_stop("r"), X.py_strip("s")).first()
     assert row[0] == "a</answer>" and row[1] == "x y"
+
+
+def test_whitespace_class_matches_python(spark):
+    import sys
+    ws = [c for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+    others = [0x41, 0x30, 0x5f, 0x1b, 0x20 + 1, 0x180e, 0x200b, 0xfeff, 0x2060, 0x1f600]
+    rows = [(c, f"a{chr(c)}b") for c in ws + others]
+    df = spark.createDataFrame(rows, "c int, t string")
+    got = {r[0]: r[1] for r in df.select("c", X.word_count("t")).collect()}
+    for c in ws:
+        assert got[c] == 2, hex(c)
+    for c in others:
+        assert got[c] == 1, hex(c)
