@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.layout import spread
+
 GROUP_SIZE = 8
 PROMPTS_PER_STEP = 16
 N_RUNS = 3
@@ -23,13 +25,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A driver table, hash-spread by ``key`` when it reads as too few partitions."""
+    return spread(read_table(spark, sf_dir, name), [key])
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
 def task_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tasks with the helper columns the fixtures are built from."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"])
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     df = o.select(
         k.alias("task_id"),
@@ -190,7 +197,7 @@ def sft_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation history from ``events``: run = user_id % 5, step = event_id,
     category = event_type, score = value."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = spread(read_table(spark, sf_dir, "events"), ["user_id"])
     return ev.select(
         (F.col("user_id") % 5).alias("run_id"),
         F.col("event_type").alias("category"),

@@ -71,7 +71,7 @@ register("preview_tasks", _tasks_sql(
 )
 
 register("text_preview", "SELECT doc_id, substr(text, 1, 200) AS preview FROM documents")(
-    lambda spark, sf: FX.read_table(spark, sf, "documents").select("doc_id", TS.text_preview("text", 200).alias("preview"))
+    lambda spark, sf: FX.read_spread(spark, sf, "documents", "doc_id").select("doc_id", TS.text_preview("text", 200).alias("preview"))
 )
 
 # --- P3-P6: prompts --------------------------------------------------------------

@@ -74,7 +74,7 @@ _RE2_NOT_WS = X.NOT_WS_EXPLICIT  # RE2 has no White_Space property; same set lis
 
 register("word_count",
     f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{_RE2_NOT_WS}+')) AS BIGINT) AS n_words FROM documents")(
-    lambda spark, sf: FX.read_table(spark, sf, "documents").select(
+    lambda spark, sf: FX.read_spread(spark, sf, "documents", "doc_id").select(
         "doc_id", X.word_count("text").cast("bigint").alias("n_words"))
 )
 
@@ -82,7 +82,7 @@ register("text_answer_null_path",
     "SELECT conv_id, turn, CAST(NULL AS VARCHAR) AS equation, "
     "contains(text, '<answer>') AND contains(text, '</answer>') AS has_answer, "
     "contains(text, '<think>') AND contains(text, '</think>') AS has_think FROM conversations WHERE role = 'assistant'")(
-    lambda spark, sf: FX.read_table(spark, sf, "conversations").where(F.col("role") == "assistant").select(
+    lambda spark, sf: FX.read_spread(spark, sf, "conversations", "conv_id").where(F.col("role") == "assistant").select(
         "conv_id", "turn", X.extract_answer("text").alias("equation"),
         X.has_answer_tags("text").alias("has_answer"), X.has_think_tags("text").alias("has_think"))
 )

@@ -105,13 +105,13 @@ s AS (SELECT e.vec_id, max(m.mx) AS mx, ln(sum(exp(e.z - m.mx))) AS lse, sum(e.z
 """
 
 register("label_logprob", _EMB_CTES + f"SELECT vec_id, {rd('zl - mx - lse')} AS label_log_prob FROM s")(
-    lambda spark, sf: FX.read_table(spark, sf, "embeddings").select(
+    lambda spark, sf: FX.read_spread(spark, sf, "embeddings", "vec_id").select(
         "vec_id", report_double(L.label_log_prob("embedding", "label")).alias("label_log_prob"))
 )
 
 register("log_softmax", _EMB_CTES + f"SELECT vec_id, {rd('zs - k * (mx + lse)', 7)} AS log_softmax_sum, "
          f"{rd('-lse')} AS log_softmax_max FROM s")(
-    lambda spark, sf: FX.read_table(spark, sf, "embeddings")
+    lambda spark, sf: FX.read_spread(spark, sf, "embeddings", "vec_id")
     .select("vec_id", L.log_softmax("embedding").alias("ls"))
     .select("vec_id",
             report_double(F.aggregate("ls", F.lit(0.0), lambda a, x: a + x), 7).alias("log_softmax_sum"),
