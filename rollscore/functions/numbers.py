@@ -23,8 +23,10 @@ DIGITS_TO = "".join(str(unicodedata.decimal(ch)) for ch in _NON_ASCII_DIGITS)
 
 
 def ascii_digits(text) -> Column:
-    """Map every Unicode decimal digit to its ASCII digit."""
-    return F.translate(as_col(text), DIGITS_FROM, DIGITS_TO)
+    """Map every Unicode decimal digit to its ASCII digit (pure-ASCII text,
+    the common case, skips the lookup: its byte and character lengths agree)."""
+    t = as_col(text)
+    return F.when(F.octet_length(t) == F.length(t), t).otherwise(F.translate(t, DIGITS_FROM, DIGITS_TO))
 
 
 def found_numbers(equation) -> Column:

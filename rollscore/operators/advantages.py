@@ -25,7 +25,7 @@ def group_advantages(
     reward: str = "reward",
     stabilized: bool = False,
     clamp: float = 10.0,
-    strategy: str = "aggregate",
+    strategy: str = "window",
 ) -> DataFrame:
     """Adds ``group_mean``, ``group_std`` (population) and ``advantage``.
 
@@ -33,8 +33,12 @@ def group_advantages(
     * W2 (``stabilized``): ``(r - mean) / max(std, eps)`` clamped to
       ``[-clamp, clamp]``; the clamp applies only when normalising.
 
-    ``strategy="aggregate"`` (default) is safe for hot groups; ``"window"``
-    uses one window exchange for groups known to be small.
+    ``strategy="window"`` (default): one exchange on the group key and one
+    pass. A group is the G samples of one prompt in one step, so it never
+    holds more than G rows (``ragged_groups`` checks this); no key can
+    concentrate a large share of the rows. ``"aggregate"`` pre-aggregates
+    and joins the statistics back, for keys whose groups are unbounded; it
+    reads its input twice, so materialise the input first.
     """
     r = F.col(reward)
     aggs = {"group_mean": F.avg(r), "group_std": F.stddev_pop(r), "group_n": F.count(F.lit(1))}

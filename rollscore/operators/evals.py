@@ -124,12 +124,12 @@ def top_examples(
     """
     b = example_bucket(F.col("reward"), rule)
     w = Window.partitionBy(*keys, "bucket").orderBy(*order)
-    return (
-        scored.withColumn("bucket", b)
-        .where(F.col("bucket").isNotNull())
-        .withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= n)
-    )
+    ranked = scored.withColumn("bucket", b).withColumn("rank", F.row_number().over(w))
+    # The NULL-bucket test mentions ``rank`` so it stays above the window: a
+    # filter on ``bucket`` alone would be pushed under the projection and
+    # evaluate the scoring UDF a second time.
+    keep = F.col("bucket").isNotNull() | (F.col("rank") < 0)
+    return ranked.where((F.col("rank") <= n) & keep)
 
 
 def py_list_repr(nums: Column) -> Column:

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.sinks import metrics_long
-from .losses import step_loss
 
 STEP_KEYS = ("run_id", "step")
 DEFAULT_CHUNK_STEPS = 1 << 20
@@ -47,19 +46,27 @@ def train_step_metrics(
     grad_norm: DataFrame | None = None,
 ) -> DataFrame:
     """M1: step loss (G11), reward mean / population std / max / min (G4) and
-    average output tokens (G7) per step, joined on (run, step).
+    average output tokens (G7) per step, in one pass over ``seqs``.
 
-    Both sides are partial aggregations over the per-sequence table (one row
-    per step each), so the join is between two small tables. Materialise
-    ``seqs`` first (the training plan writes it) so it is computed once."""
+    Each row first gets its micro-batch loss from a window over the
+    micro-batch (bounded: at most micro-size rows). A micro-batch of k rows
+    then contributes ``loss / k`` from each row and ``1 / k`` to the
+    micro-batch count, so one partial aggregation per step yields the sum of
+    micro-batch losses, their number and the reward statistics together."""
     r = F.col("reward").cast("double")
-    stats = seqs.groupBy(*keys).agg(
-        F.avg(r).alias("reward_mean"), F.stddev_pop(r).alias("reward_std"),
-        F.max(r).alias("reward_max"), F.min(r).alias("reward_min"),
-        F.coalesce(F.avg(F.col("output_tokens").cast("double")), F.lit(0.0)).alias("avg_output_tokens"),
+    w = Window.partitionBy(*keys, micro)
+    rows = seqs.select(
+        *keys, r.alias("__r"), F.col("output_tokens").cast("double").alias("__tok"),
+        (F.avg("seq_loss").over(w) / F.count(F.lit(1)).over(w)).alias("__share"),
+        (F.lit(1.0) / F.count(F.lit(1)).over(w)).alias("__unit"),
+    )
+    total = F.sum("__share")
+    out = rows.groupBy(*keys).agg(
+        (total / F.round(F.sum("__unit")) if rescale else total).alias("loss"),
+        F.avg("__r").alias("reward_mean"), F.stddev_pop("__r").alias("reward_std"),
+        F.max("__r").alias("reward_max"), F.min("__r").alias("reward_min"),
+        F.coalesce(F.avg("__tok"), F.lit(0.0)).alias("avg_output_tokens"),
     )
-    loss = step_loss(seqs, keys, micro, rescale).withColumnRenamed("step_loss", "loss")
-    out = stats.join(loss, list(keys), "inner")
     if grad_norm is not None:
         out = out.join(grad_norm.select(*keys, "grad_norm"), list(keys), "left")
     else:
