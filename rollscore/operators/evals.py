@@ -144,6 +144,7 @@ def example_text(scored: DataFrame, target: str = "target", nums: str = "nums")
     rounds the binary value (0.062); documented difference.
     """
     c = F.col
+    prompt = c("prompt") if "prompt" in scored.columns else F.lit("")
     target_txt = F.when(c(target).isNull(), F.lit("?")).otherwise(c(target).cast("string"))
     numbers = F.when(c(nums).isNull(), F.lit("None")).otherwise(py_list_repr(c(nums)))
     equation = F.coalesce(c("equation"), F.lit("None"))
@@ -152,7 +153,7 @@ def example_text(scored: DataFrame, target: str = "target", nums: str = "nums")
                F.concat(F.format_string("%.0f", c("result")), F.lit(".0"))).otherwise(c("result").cast("string"))
     )
     text = F.concat(
-        F.lit("Prompt: "), F.coalesce(c("prompt"), F.lit("")), F.lit("\n"),
+        F.lit("Prompt: "), F.coalesce(prompt, F.lit("")), F.lit("\n"),
         F.lit("Response: "), F.coalesce(c("response"), F.lit("")), F.lit("\n"),
         F.lit("Equation: "), equation, F.lit(" | Result: "), result,
         F.lit(" | Target: "), target_txt, F.lit(" | Numbers: "), numbers, F.lit("\n"),
