@@ -208,3 +208,32 @@ register("zero_std_groups", _rewarded_sql("signed10",
     ",\nper_group AS (SELECT run_id, step, task_id, stddev_pop(r) AS sd FROM rewarded GROUP BY run_id, step, task_id)"))(
     lambda spark, sf: A.zero_std_groups(_scored(spark, sf, "signed10"), eps=1e-4)
 )
+
+
+# --- J1, F7: task join with an unmatched-key report; token counts ------------
+
+from ..functions.tokenize import output_token_count  # noqa: E402
+from ..operators.scoring import attach_tasks, unmatched_rollouts  # noqa: E402
+
+
+def _train_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    return FX.tasks(spark, sf).where(F.col("split") == "train")
+
+
+register("rollout_task_join", with_ctes(ROLLOUT_PARTS,
+    "SELECT run_id, step, count(*) AS n_rows, sum(target) AS sum_target FROM rollout_parts "
+    "WHERE split = 'train' GROUP BY run_id, step"))(
+    lambda spark, sf: attach_tasks(FX.rollouts(spark, sf), _train_tasks(spark, sf))
+    .groupBy("run_id", "step").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("target").alias("sum_target"))
+)
+
+register("unmatched_rollouts", with_ctes(ROLLOUT_PARTS,
+    f"SELECT {_RK} FROM rollout_parts WHERE split <> 'train'"))(
+    lambda spark, sf: unmatched_rollouts(FX.rollouts(spark, sf), _train_tasks(spark, sf)).select(*ROLL_KEYS)
+)
+
+register("output_token_count", with_ctes(ROLLOUT_PARTS,
+    f"SELECT {_RK}, CAST(len(string_split(response, ' ')) AS BIGINT) AS n_tokens FROM rollout_parts"))(
+    lambda spark, sf: FX.rollouts(spark, sf).select(
+        *ROLL_KEYS, output_token_count("response").cast("bigint").alias("n_tokens"))
+)

@@ -154,3 +154,36 @@ def test_plans(spark):
     assert "WindowGroupLimit" in top and top.count("ArrowEvalPython") == 1
     scan = catalog.QUERIES["word_count"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in scan
+
+
+def test_user_reward_hook(spark):
+    from rollscore.functions.rewards import REWARDS, register_reward
+    register_reward("exact_only", lambda a, scale=None: F.when(a.numbers_ok & (a.distance < 1e-6), 1.0).otherwise(0.0))
+    try:
+        df = spark.createDataFrame([(36, [79, 17, 60], "<answer>79 - 60 + 17</answer>")],
+                                   "target int, nums array<int>, response string")
+        assert score(df, reward="exact_only").first().reward == 1.0
+    finally:
+        REWARDS.pop("exact_only")
+    with pytest.raises(KeyError):
+        score(df, reward="nope")
+
+
+def test_unknown_loss_type_raises(spark):
+    from rollscore.operators import losses as LO
+    df = FX.logprob_rollouts(spark, SF001).withColumn("advantage", F.lit(1.0))
+    with pytest.raises(ValueError, match="Unknown loss type"):
+        LO.sequence_losses(df, loss_type="ppo")
+
+
+def test_read_sft_splits_and_tokenizer(spark):
+    d = tempfile.mkdtemp(prefix="rs-sft-")
+    sft = FX.sft_rows(spark, SF001)
+    for split in ("train", "validation"):
+        sft.where(F.col("split") == split).drop("split", "task_id", "slot").write.json(os.path.join(d, split))
+    both = RD.read_sft_splits(spark, os.path.join(d, "train"), os.path.join(d, "validation"))
+    assert both.count() == sft.count()
+    from rollscore.functions.tokenize import arrow_tokenizer, output_token_count
+    tok = arrow_tokenizer(lambda texts: [[len(w) for w in t.split()] if t is not None else None for t in texts])
+    row = both.select(output_token_count("completion", tok).alias("a"), output_token_count("completion").alias("b")).first()
+    assert row.a == row.b
