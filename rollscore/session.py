@@ -57,7 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 -- no SparkContext access (Spark Connect)
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
@@ -69,12 +72,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """
     current = checkpoint_dir(spark)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        try:
+            if spark.sparkContext.getCheckpointDir() is None:
+                spark.sparkContext.setCheckpointDir(current)
+        except Exception:  # noqa: BLE001 -- Spark Connect: the conf is enough
+            pass
         return current
     path = fallback or tempfile.mkdtemp(prefix="rollscore-ckpt-")
     os.makedirs(path, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001
+        pass
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 
