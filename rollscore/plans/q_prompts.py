@@ -58,7 +58,7 @@ register("tasks_by_size", _tasks_sql(f"SELECT task_id, target, {_NUMS_SQL} AS nu
 )
 
 register("split_stats", _tasks_sql(
-    "SELECT split, count(*) AS total, count_if(n_nums = 3) AS kept, "
+    "SELECT split, count(*) AS total, CAST(count_if(n_nums = 3) AS BIGINT) AS kept, "
     f"{rd('CAST(count_if(n_nums = 3) AS DOUBLE) / count(*) * 100.0')} AS kept_pct FROM task_parts GROUP BY split"))(
     lambda spark, sf: TS.split_stats(FX.tasks(spark, sf)).select(
         "split", "total", "kept", report_double(F.col("kept_pct")).alias("kept_pct"))
@@ -184,13 +184,13 @@ def _zero_shot(spark: SparkSession, sf: str) -> DataFrame:
 
 register("zero_shot_accuracy", _ANSWERS +
          "SELECT 'model_' || CAST(run_id AS VARCHAR) AS model, CAST(CASE WHEN slot % 2 = 0 THEN 256 ELSE 512 END AS BIGINT) AS max_tokens, "
-         f"count_if(r = 1.0) AS correct, count(*) AS total, {rd('CAST(count_if(r = 1.0) AS DOUBLE) / count(*) * 100.0')} AS accuracy "
+         f"CAST(count_if(r = 1.0) AS BIGINT) AS correct, count(*) AS total, {rd('CAST(count_if(r = 1.0) AS DOUBLE) / count(*) * 100.0')} AS accuracy "
          "FROM rw WHERE task_id % 10 = 3 GROUP BY 1, 2")(_zero_shot)
 
 register("format_metrics", _ANSWERS +
-         "SELECT run_id, step, count(*) AS num_examples, count_if(kind <> 2) AS count_has_answer, "
-         "count_if(kind IN (1, 7)) AS count_has_both_tags, "
-         "count_if(x_equation IS NOT NULL AND x_equation <> '' AND x_numbers_ok) AS count_correct_numbers, "
+         "SELECT run_id, step, count(*) AS num_examples, CAST(count_if(kind <> 2) AS BIGINT) AS count_has_answer, "
+         "CAST(count_if(kind IN (1, 7)) AS BIGINT) AS count_has_both_tags, "
+         "CAST(count_if(x_equation IS NOT NULL AND x_equation <> '' AND x_numbers_ok) AS BIGINT) AS count_correct_numbers, "
          f"{rd('100.0 * count_if(kind IN (1, 7)) / count(*)')} AS format_accuracy, "
          f"{rd('100.0 * count_if(x_equation IS NOT NULL AND x_equation <> \'\' AND x_numbers_ok) / count(*)')} AS number_accuracy "
          "FROM rw GROUP BY run_id, step")(

@@ -126,8 +126,8 @@ def _summary_sql(rule: str) -> str:
     body = f"""
 , rewarded AS (SELECT run_id, step, output_tokens, {reward_sql(_SUMMARY_RULE[rule])} AS r FROM answers)
 SELECT run_id, step, {rd('avg(r)')} AS mean_reward, {rd('coalesce(stddev_samp(r), 0.0)')} AS std_reward,
-       count(*) AS num_examples, count_if({c}) AS count_correct, count_if({p}) AS count_partial,
-       count_if({f}) AS count_failed, {rd('CAST(count_if(' + c + ') AS DOUBLE) / count(*) * 100.0')} AS accuracy,
+       count(*) AS num_examples, CAST(count_if({c}) AS BIGINT) AS count_correct, CAST(count_if({p}) AS BIGINT) AS count_partial,
+       CAST(count_if({f}) AS BIGINT) AS count_failed, {rd('CAST(count_if(' + c + ') AS DOUBLE) / count(*) * 100.0')} AS accuracy,
        {rd('avg(output_tokens)')} AS avg_output_tokens
 FROM rewarded GROUP BY run_id, step"""
     return "WITH " + ROLLOUT_PARTS.strip() + body
@@ -204,7 +204,7 @@ register("reward_metadata", _rewarded_sql("hybrid",
 )
 
 register("zero_std_groups", _rewarded_sql("signed10",
-    "SELECT run_id, step, count_if(sd < 1e-4) AS zero_std_groups, count(*) AS num_groups FROM per_group GROUP BY run_id, step",
+    "SELECT run_id, step, CAST(count_if(sd < 1e-4) AS BIGINT) AS zero_std_groups, count(*) AS num_groups FROM per_group GROUP BY run_id, step",
     ",\nper_group AS (SELECT run_id, step, task_id, stddev_pop(r) AS sd FROM rewarded GROUP BY run_id, step, task_id)"))(
     lambda spark, sf: A.zero_std_groups(_scored(spark, sf, "signed10"), eps=1e-4)
 )
@@ -221,7 +221,7 @@ def _train_tasks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("rollout_task_join", with_ctes(ROLLOUT_PARTS,
-    "SELECT run_id, step, count(*) AS n_rows, sum(target) AS sum_target FROM rollout_parts "
+    "SELECT run_id, step, count(*) AS n_rows, CAST(sum(target) AS BIGINT) AS sum_target FROM rollout_parts "
     "WHERE split = 'train' GROUP BY run_id, step"))(
     lambda spark, sf: attach_tasks(FX.rollouts(spark, sf), _train_tasks(spark, sf))
     .groupBy("run_id", "step").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("target").alias("sum_target"))

@@ -80,7 +80,7 @@ register("fixed_width", _tok_sql(
 
 register("prompt_masked_labels", _tok_sql(
     f"SELECT {_RK}, string_agg(CAST(CASE WHEN j < P OR x = 1000 THEN -100 ELSE x END AS VARCHAR), ',' ORDER BY j) AS labels, "
-    "count_if(j < P OR x = 1000) AS n_masked FROM fv GROUP BY run_id, step, task_id, slot", _FW_CTE))(
+    "CAST(count_if(j < P OR x = 1000) AS BIGINT) AS n_masked FROM fv GROUP BY run_id, step, task_id, slot", _FW_CTE))(
     lambda spark, sf: _fixed_width(spark, sf).select(
         *ROLL_KEYS, TK.ids_text("labels").alias("labels"), F.col("n_masked").cast("bigint").alias("n_masked"))
 )
