@@ -57,8 +57,9 @@ def sample_steps(
     cand = tasks.select("*", F.explode(steps).alias("step"))
     cand = cand.withColumn("__k", _sample_key(seed, F.col("step"), F.col(key)))
     w = Window.partitionBy("step").orderBy("__k", key)
-    ranked = cand.withColumn("prompt_ord", F.row_number().over(w) - 1).where(F.col("prompt_ord") < k)
-    return ranked.drop("__k").withColumn("prompt_ord", F.col("prompt_ord").cast("bigint"))
+    ranked = cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
+    return ranked.select(*[c for c in ranked.columns if c not in ("__k", "__rn")],
+                         (F.col("__rn") - 1).cast("bigint").alias("prompt_ord"))
 
 
 def check_population(tasks: DataFrame, k: int) -> None:

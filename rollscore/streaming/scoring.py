@@ -76,6 +76,30 @@ def step_metrics_stream(scored: DataFrame, keys=("run_id", "step")) -> DataFrame
     )
 
 
+def step_metrics_by_event_time(
+    scored: DataFrame,
+    event_time: str = "ts",
+    delay: str = "10 minutes",
+    window: str = "1 minute",
+    keys=("run_id",),
+) -> DataFrame:
+    """ST2 on event time: reward metrics per run and tumbling window, emitted
+    once the watermark passes the window (append mode). Rows later than the
+    watermark are dropped by Spark, as documented for watermarks.
+
+    Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column (such as ``events.ts``)
+    is read as UTC timestamps first (session time zone UTC)."""
+    ts = F.col(event_time).cast("timestamp")
+    r = F.col("reward")
+    return (
+        scored.withColumn("__event_time", ts)
+        .withWatermark("__event_time", delay)
+        .groupBy(*keys, F.window("__event_time", window).alias("window"))
+        .agg(F.count(F.lit(1)).alias("num_rollouts"), F.avg(r).alias("reward_mean"),
+             F.stddev_pop(r).alias("reward_std"), F.max(r).alias("reward_max"), F.min(r).alias("reward_min"))
+    )
+
+
 BEST_OUTPUT = "run_id long, category string, step long, score double"
 BEST_STATE = "best double"
 

@@ -187,3 +187,31 @@ def test_read_sft_splits_and_tokenizer(spark):
     tok = arrow_tokenizer(lambda texts: [[len(w) for w in t.split()] if t is not None else None for t in texts])
     row = both.select(output_token_count("completion", tok).alias("a"), output_token_count("completion").alias("b")).first()
     assert row.a == row.b
+
+
+def test_event_time_stream_matches_batch_for_closed_windows(spark):
+    from rollscore.streaming import scoring as ST
+    work = ST.scratch_dir(spark, "test-event-time")
+    rows = FX.rollouts(spark, SF001).withColumn("ts", F.timestamp_seconds(F.col("step") * 60).cast("timestamp_ntz"))
+    src = os.path.join(work, "src")
+    ST.replay_in_order(rows, src, step="step", steps_per_file=4)
+    stream = ST.file_stream(spark, src, rows.schema, max_files_per_trigger=1)
+    scored = ST.score_stream(stream, FX.tasks(spark, SF001))
+    sink = os.path.join(work, "out")
+    ST.run_append(ST.step_metrics_by_event_time(scored, delay="2 minutes").select(
+        "run_id", F.col("window.start").alias("start"), "num_rollouts", "reward_mean"), sink, os.path.join(work, "chk"))
+    got = spark.read.parquet(sink)
+    batch = (score(FX.rollouts_with_tasks(spark, SF001), reward="hybrid")
+             .withColumn("start", F.timestamp_seconds(F.col("step") * 60))
+             .groupBy("run_id", "start").agg(F.count(F.lit(1)).alias("b_n"), F.avg("reward").alias("b_mean")))
+    assert got.count() > 0
+    joined = got.join(batch, ["run_id", "start"])
+    assert joined.count() == got.count()
+    assert joined.where((F.col("num_rollouts") != F.col("b_n"))
+                        | (F.abs(F.col("reward_mean") - F.col("b_mean")) > 1e-12)).count() == 0
+    assert got.count() < batch.count()  # windows after the final watermark are not emitted yet
+
+
+def test_sampling_plan_uses_group_limit(spark):
+    plan = catalog.QUERIES["sample_prompts"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
