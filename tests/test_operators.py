@@ -215,3 +215,20 @@ def test_event_time_stream_matches_batch_for_closed_windows(spark):
 def test_sampling_plan_uses_group_limit(spark):
     plan = catalog.QUERIES["sample_prompts"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_running_best_with_a_hot_run(spark):
+    # One (run, category) holds most of the history; chunk windows stay bounded.
+    hist = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 3 + 1).cast("long").alias("run_id"),
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("category"),
+        F.col("id").alias("step"),
+        ((F.col("id") * 7919) % 10007 / 100.0).alias("score"),
+    )
+    w = Window.partitionBy("run_id", "category").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    plain = hist.withColumn("p", F.max("score").over(w)).where(F.col("score") > F.greatest(F.col("p"), F.lit(0.0)))
+    got = M.new_bests(hist, init=0.0, chunk_steps=500)
+    assert got.select("run_id", "category", "step").exceptAll(plain.select("run_id", "category", "step")).count() == 0
+    assert got.count() == plain.count()
+    per_window = hist.groupBy("run_id", "category", F.floor(F.col("step") / 500)).count()
+    assert per_window.agg(F.max("count")).first()[0] <= 500
