@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, keys: Sequence[str], min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     try:
-        target = min_partitions or max(spark.sparkContext.defaultParallelism, shuffle)
+        # Two tasks per core the cluster offers: enough to keep every core busy
+        # and to even out stragglers, independent of the shuffle setting.
+        target = min_partitions or 2 * spark.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave as is
         return df
