@@ -149,18 +149,17 @@ def token_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def logprob_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rollouts (with target, nums, response) plus policy / old / reference
-    log-prob arrays and a response mask of length ``4 + task_id % 9``."""
-    r = rollout_parts(spark, sf_dir)
+def with_logprob_arrays(df: DataFrame) -> DataFrame:
+    """Add policy / old / reference log-prob arrays and a response mask of
+    length ``4 + task_id % 9`` to any table keyed by (task_id, slot)."""
     t, s = F.col("task_id"), F.col("slot")
     n = F.lit(4) + t % 9
 
     def lp(a: int, b: int, c: int) -> Column:
         return _index_array(n, lambda i: -((t * a + s * b + i * c) % 50).cast("double") / F.lit(10.0))
 
-    return r.select(
-        *ROLLOUT_COLUMNS, "target", "nums",
+    return df.select(
+        "*",
         lp(31, 7, 13).alias("policy_log_probs"),
         lp(11, 5, 17).alias("old_log_probs"),
         lp(19, 3, 23).alias("ref_log_probs"),
@@ -168,6 +167,11 @@ def logprob_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def logprob_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollouts (with target, nums, response) plus log-prob arrays."""
+    return with_logprob_arrays(rollout_parts(spark, sf_dir).select(*ROLLOUT_COLUMNS, "target", "nums"))
+
+
 def nested_rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generator-shaped records: one row per prompt with ``outputs`` =
     ``[{text}, ...]`` (G entries; empty for task_id % 7 == 0)."""

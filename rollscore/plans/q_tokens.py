@@ -144,8 +144,11 @@ def _loss_sql(body: str) -> str:
 
 
 def _with_advantage(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score(FX.logprob_rollouts(spark, sf), reward="hybrid", scale=5.0)
-    return A.group_advantages(scored, normalize_by_std=True, eps=1e-6)
+    """Advantages on narrow rows, token arrays attached after the window:
+    per-token arrays never go through a shuffle."""
+    scored = score(FX.rollouts_with_tasks(spark, sf), reward="hybrid", scale=5.0)
+    narrow = scored.select("run_id", "step", "task_id", "prompt_ord", "slot", "reward", "output_tokens")
+    return FX.with_logprob_arrays(A.group_advantages(narrow, normalize_by_std=True, eps=1e-6))
 
 
 def _seq(spark: SparkSession, sf: str, **kw) -> DataFrame:
