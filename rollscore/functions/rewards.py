@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import py_gt, py_le, py_lt, py_max, py_min
+from ._util import py_le, py_lt, py_max, py_min
 
 EXACT_TOL = 1e-6
 

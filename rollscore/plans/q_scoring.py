@@ -20,7 +20,7 @@ from ..operators.scoring import score, stage_answers
 from . import fixtures as FX
 from .oracle import ROLLOUT_PARTS, rd, reward_sql, with_ctes
 
-from .registry import ORACLES, QUERIES, Query, register  # noqa: F401
+from .registry import ORACLES, Query, register
 
 
 ROLL_KEYS = ["run_id", "step", "task_id", "slot"]
