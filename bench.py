@@ -28,6 +28,8 @@ HEADLINE = {
     "token_loss": "step_loss",                    # T8-T12 + G11
     "train_metrics": "train_metrics",             # M1
     "best_so_far": "best_so_far_c",               # W4
+    "text_words": "word_count",                   # F6 over every whole document
+    "text_answers": "text_answer_null_path",      # F1/F5 over assistant turns
 }
 
 

@@ -81,7 +81,9 @@ def extract_answer(text) -> Column:
     """
     t = as_col(text)
     matches = F.regexp_extract_all(t, F.lit(ANSWER_PATTERN), 1)
-    candidate = F.instr(F.lower(t), "</an") > 0
+    # "</" has no case variants: a plain substring test skips tag-free prose
+    # before the lower-cased copy is made.
+    candidate = t.contains("</") & (F.instr(F.lower(t), "</an") > 0)
     return F.when(candidate, F.try_element_at(matches, F.lit(-1)))
 
 
