@@ -6,9 +6,8 @@ as one task. ``spread`` hash-partitions such an input by a key, and only
 when it has fewer partitions than the cluster can run at once: on a real
 multi-file table it is a no-op and adds no shuffle.
 
-Partitioning rollouts by ``task_id`` also satisfies the distribution that
-per-group operators on (run, step, task_id) need, so the group statistics
-and their join back reuse it instead of shuffling again.
+Spread by a unique key (or one whose groups are bounded) so the spreading
+itself cannot concentrate a hot key in one partition.
 """
 
 from __future__ import annotations

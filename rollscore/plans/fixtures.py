@@ -201,7 +201,7 @@ def sft_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation history from ``events``: run = user_id % 5, step = event_id,
     category = event_type, score = value."""
-    ev = spread(read_table(spark, sf_dir, "events"), ["user_id"])
+    ev = spread(read_table(spark, sf_dir, "events"), ["event_id"])
     return ev.select(
         (F.col("user_id") % 5).alias("run_id"),
         F.col("event_type").alias("category"),
