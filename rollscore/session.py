@@ -63,6 +63,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 -- Spark Connect: the master is not visible
+        return False
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set one only when unset.
 
@@ -78,6 +85,11 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         except Exception:  # noqa: BLE001 -- Spark Connect: the conf is enough
             pass
         return current
+    if fallback is None and not _is_local(spark):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; on a cluster it must name a shared folder "
+            "(a machine-local temporary folder would not survive executor loss)"
+        )
     path = fallback or tempfile.mkdtemp(prefix="rollscore-ckpt-")
     os.makedirs(path, exist_ok=True)
     try:
