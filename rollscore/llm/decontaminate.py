@@ -5,7 +5,8 @@ Texts become word lists; every run of ``GRAM`` words gets a hash, and of each
 that share ``GRAM + SPAN - 1`` words in a row keep at least one common
 fingerprint, so with ``GRAM + SPAN - 1 = window`` no shared window is missed.
 Documents and benchmark are joined on fingerprints, and every match is
-extended word by word along its diagonal; hashes only propose, words decide.
+extended word by word to both sides, as far as a window around it can reach;
+hashes only propose, words decide. Overlapping runs are united per document.
 
 Defined cases
 * null or wordless text: no words, nothing is hit; a wordless item never occurs;
@@ -44,7 +45,10 @@ def word_list(text: Column) -> Column:
 
 
 def word_total(text: Column) -> Column:
-    return F.coalesce(F.size(F.array_remove(F.split(text, GAP_ANY_CASE), "")), F.lit(0)).cast("long")
+    """Number of words: parts between gaps, without the empty ones at the ends."""
+    first, last = F.substring(text, 1, 1), F.right(text, F.lit(1))
+    blank_ends = F.when((first == "") | first.rlike(GAP_ANY_CASE), 1).otherwise(0) + F.when(last.rlike(GAP_ANY_CASE), 1).otherwise(0)
+    return F.coalesce(F.size(F.split(text, GAP_ANY_CASE)) - blank_ends, F.lit(0)).cast("long")
 
 
 def _gram_hashes(hashes: str, length: int) -> Column:
@@ -64,34 +68,34 @@ def _run(step: int, span: int) -> Column:
     return out
 
 
-def _winnowed(lists: DataFrame, gram: int, span: int) -> DataFrame:
-    """One row per kept hash: the columns of ``lists`` with ``pos`` and ``fp``.
+def _winnowed(lists: DataFrame, gram: int, span: int, context: str) -> DataFrame:
+    """One row per kept hash: ``pos``, ``fp``, and as ``context`` the words that a window holding it can reach.
 
     A hash is the smallest of some window of ``span`` if its not-smaller
     neighbours on both sides reach that far; with ``span`` 1 all are kept.
+    Words beyond the ends are null.
     """
+    reach = span - 1
+    nothing = F.array_repeat(F.lit(None).cast("string"), reach)
     hashed = lists.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    hashed = hashed.withColumn("grams", _gram_hashes("hashes", gram)).drop("hashes")
+    hashed = hashed.withColumn("grams", _gram_hashes("hashes", gram)).withColumn("words", F.concat(nothing, "words", nothing)).drop("hashes")
     # The outer form: the plain one would have its input computed a second time for a size filter.
     rows = hashed.select("*", F.posexplode_outer("grams").alias("pos", "fp")).where(F.col("fp").isNotNull())
     if span > 1:
         rows = rows.where(_run(-1, span) + _run(1, span) >= span - 1)
-    return rows.drop("grams")
+    return rows.withColumn(context, F.slice("words", F.col("pos") + 1, gram + 2 * reach)).drop("grams", "words")
 
 
-def _extended(matches: DataFrame) -> DataFrame:
+def _equal_runs(found: DataFrame, gram: int, reach: int) -> DataFrame:
     """The run of equal words around each match, as words [start, stop) of the document."""
-    at, first = F.col("ipos"), F.col("pos") - F.col("ipos")
-    differ = F.filter(
-        F.sequence(F.lit(0), F.size("iwords") - 1),
-        lambda j: ~F.get(F.col("words"), first + j).eqNullSafe(F.get(F.col("iwords"), j)),
-    )
-    m = matches.withColumn("differ", differ)
-    left = F.coalesce(F.array_max(F.filter("differ", lambda j: j < at)) + 1, F.lit(0))
-    right = F.coalesce(F.array_min(F.filter("differ", lambda j: j >= at)), F.size("iwords"))
-    m = m.withColumn("left", left).withColumn("right", right)
-    m = m.where(F.col("right") - F.col("left") >= F.least(F.size("iwords"), F.lit(WINDOW)))
-    return m.select("doc_id", "text_hash", "item_id", (first + F.col("left")).alias("start"), (first + F.col("right")).alias("stop"))
+    places = F.array(*[F.lit(j) for j in range(gram + 2 * reach)])
+    same = lambda j: F.coalesce(F.get("context", j) == F.get("icontext", j), F.lit(False))
+    found = found.withColumn("differ", F.filter(places, lambda j: ~same(j)))
+    left = F.coalesce(F.array_max(F.filter("differ", lambda j: j < reach)) + 1, F.lit(0))
+    right = F.coalesce(F.array_min(F.filter("differ", lambda j: j >= reach)), F.lit(gram + 2 * reach))
+    return found.select(
+        "doc_id", "text_hash", "item_id", (F.col("pos") - reach + left).alias("start"), (F.col("pos") - reach + right).alias("stop")
+    ).where(F.col("stop") - F.col("start") >= gram + reach)
 
 
 def _document_lists(documents: DataFrame) -> DataFrame:
@@ -99,31 +103,17 @@ def _document_lists(documents: DataFrame) -> DataFrame:
 
 
 def _runs(documents: DataFrame, items: DataFrame, gram: int, span: int, broadcast_bytes: int) -> DataFrame:
-    prints = _winnowed(items.select("item_id", "words"), gram, span).select(
-        "fp", "item_id", F.col("pos").alias("ipos"), F.col("words").alias("iwords")
-    )
-    size = prints.select(F.sum(F.length(F.concat_ws(" ", "iwords")) * 4 + 64)).first()[0] or 0
-    docs = _winnowed(_document_lists(documents), gram, span)
+    reach = span - 1
+    prints = _winnowed(items, gram, span, "icontext").drop("pos")
+    docs = _winnowed(_document_lists(documents), gram, span, "context")
+    size = prints.select(F.sum(F.length(F.concat_ws(" ", "icontext")) * 4 + 64)).first()[0] or 0
     if size <= broadcast_bytes:
-        return _extended(docs.join(F.broadcast(prints), "fp"))
-    # Too large to send around: match narrow rows by shuffle, then fetch the words of the matches.
-    prints = prints.withColumn("item_key", F.xxhash64("item_id", "iwords"))
-    found = docs.select("doc_id", "text_hash", "pos", "fp").join(prints.drop("iwords"), "fp")
-    found = found.groupBy("doc_id", "text_hash", "item_id", "item_key", (F.col("pos") - F.col("ipos")).alias("diagonal")).agg(
-        F.collect_set(F.struct("pos", "ipos")).alias("at")  # one diagonal may hold several runs
-    )
-    words = _document_lists(documents).dropDuplicates(["doc_id", "text_hash"])
-    items = prints.select("item_key", "iwords").dropDuplicates(["item_key"])
-    found = found.alias("f").join(
-        words.alias("w"),
-        F.col("f.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("f.text_hash") == F.col("w.text_hash")),
-    ).select("f.*", "w.words")
-    found = found.join(items, "item_key").select("doc_id", "text_hash", "item_id", "words", "iwords", F.explode("at").alias("at"))
-    return _extended(found.select("doc_id", "text_hash", "item_id", "words", "iwords", "at.pos", "at.ipos"))
+        prints = F.broadcast(prints)
+    return _equal_runs(docs.join(prints, "fp"), gram, reach)
 
 
 def occurrences(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Maximal word runs ``[start, stop)`` of documents that repeat item windows.
+    """Word runs ``[start, stop)`` of documents that repeat item windows; their union is all that is hit.
 
     Columns: doc_id, text_hash, item_id, start, stop.
     """
