@@ -14,3 +14,11 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel with the task, so that workers
+# need no copy of this package on their path.
+import sys as _sys  # noqa: E402
+
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
