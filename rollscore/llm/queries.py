@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neardup
+from . import decontaminate, neardup, tokenfiles
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_duplicates")
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.report(table(spark, sf_dir, "documents"))
