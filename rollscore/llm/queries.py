@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, neardup, tokenfiles, toxicity
+from . import decontaminate, language, neardup, tokenfiles, topk, toxicity
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language")
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_topk", topk.ORACLE)
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
