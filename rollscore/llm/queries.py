@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, neardup, tokenfiles, topk, toxicity
+from . import decontaminate, language, mixing, neardup, tokenfiles, topk, toxicity
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_topk", topk.ORACLE)
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
