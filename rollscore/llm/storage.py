@@ -7,6 +7,8 @@ task depends on another machine's local disk.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,11 @@ class Workspace:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
+    def address(self, name: str) -> str:
+        """The folder as an address that pyarrow opens."""
+        path = self.folder(name)
+        return path if re.match(r"[a-z0-9]+:", path) else f"file://{os.path.abspath(path)}"
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as Parquet and return the stored table."""
         path = self.folder(name)
