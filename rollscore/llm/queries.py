@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, language, mixing, neardup, tokenfiles, topk, toxicity
+from . import archives, decontaminate, language, mixing, neardup, repeats, tokenfiles, topk, toxicity
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_archives", archives.ORACLE)
 def op3_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.report(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_repeats")
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
