@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, language, mixing, neardup, repeats, tokenfiles, topk, toxicity
+from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, tokenfiles, topk, toxicity
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op3_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_repeats")
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
