@@ -201,23 +201,27 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _offending_features(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Greedy cover of the toxic documents by features (almost) absent from clean ones."""
-    containing: dict[str, list[int]] = {}
-    known: dict[str, list[str]] = {}
-    for d, tokens in enumerate(docs):
-        seen = set()
-        for token in set(tokens):
-            seen.update(known.setdefault(token, word_features(token)))
-        for name in seen:
-            containing.setdefault(name, []).append(d)
+def _offending_features(docs: list[np.ndarray], names: list[list[str]], toxic: np.ndarray) -> set[str]:
+    """Greedy cover of the toxic documents by features (almost) absent from clean ones; ``docs`` hold word numbers."""
+    number: dict[str, int] = {}
+    of_word = [np.array([number.setdefault(n, len(number)) for n in f], np.int32) for f in names]
+    everywhere, offending = np.zeros(len(number), np.int32), np.zeros(len(number), np.int32)
+    held = lambda d: np.unique(np.concatenate([of_word[w] for w in np.unique(docs[d])]))
+    filled = [d for d in range(len(docs)) if len(docs[d])]
+    for d in filled:
+        f = held(d)
+        everywhere[f] += 1
+        if toxic[d]:
+            offending[f] += 1
     need = max(3, int(toxic.sum()) // 400)
-    pure = {}
-    for name, where in containing.items():
-        if len(where) >= need:
-            hits = [d for d in where if toxic[d]]
-            if len(hits) >= 0.97 * len(where):
-                pure[name] = set(hits)
+    kept = (everywhere >= need) & (offending >= 0.97 * everywhere)
+    spelled = list(number)
+    pure: dict[str, set[int]] = {spelled[f]: set() for f in np.flatnonzero(kept)}
+    for d in filled:
+        if toxic[d]:
+            for f in held(d):
+                if kept[f]:
+                    pure[spelled[f]].add(d)
     left, chosen = set(np.flatnonzero(toxic).tolist()), set()
     while pure:
         # Most newly explained documents; of equals the longest feature, then the first by name.
@@ -231,65 +235,88 @@ def _offending_features(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
     return chosen
 
 
+def _portions(docs: list[np.ndarray], size: int = 1 << 18):
+    """Runs of documents of about ``size`` words, so that memory does not follow the sample."""
+    first = held = 0
+    for d, words in enumerate(docs):
+        held += len(words)
+        if held >= size or d + 1 == len(docs):
+            yield first, d + 1
+            first, held = d + 1, 0
+
+
+def _first_words(lengths: np.ndarray) -> np.ndarray:
+    starts = np.zeros(lengths.sum(), bool)
+    starts[np.concatenate([[0], np.cumsum(lengths)[:-1]])[lengths > 0]] = True
+    return starts
+
+
 def train(texts: list[str], labels: list[int], rate: float) -> Chain:
     """``rate``: share of toxic among all labelled rows, for the document curve."""
-    docs, toxic = [text.split() for text in texts], np.array(labels, bool)
+    toxic = np.array(labels, bool)
     flat = Chain(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), 0.0, np.zeros((2, 2)), np.zeros(2), np.zeros(3))
     if not toxic.any() or toxic.all():
         flat.curve[0] = np.log(max(rate, 1e-6) / max(1 - rate, 1e-6))
         return flat
-    chosen = _offending_features(docs, toxic)
     words: dict[str, int] = {}
-    ids = np.array([words.setdefault(t, len(words)) for d in docs for t in d], np.int64)
-    lengths = np.array([len(d) for d in docs])
-    starts = np.zeros(len(ids), bool)
-    starts[np.concatenate([[0], np.cumsum(lengths)[:-1]])[lengths > 0]] = True
+    docs = [np.array([words.setdefault(t, len(words)) for t in text.split()], np.int32) for text in texts]
     names = [word_features(t) for t in words]
+    chosen = _offending_features(docs, names, toxic)
+    lengths = np.array([len(d) for d in docs])
     bad = np.array([not chosen.isdisjoint(f) for f in names], bool)
-    y = (bad[ids] & np.repeat(toxic, lengths)).astype(float)
     owner = np.repeat(np.arange(len(names)), [len(f) for f in names])
     feature = np.array([_bucket(x) for f in names for x in f])
     head = np.array([_bucket(f[0]) for f in names])
-    last = np.append(starts[1:], True)
+    portions = []
+    for a, b in _portions(docs):
+        ids = np.concatenate(docs[a:b])
+        if len(ids):
+            portions.append((ids, _first_words(lengths[a:b]), bad[ids] & np.repeat(toxic[a:b], lengths[a:b])))
+    n, ones = int(lengths.sum()), sum(float(y.sum()) for _, _, y in portions)
 
     own, before, after = np.zeros(BUCKETS), np.zeros(BUCKETS), np.zeros(BUCKETS)
-    bias = np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))])
+    bias = np.array([np.log((ones + 1) / (n - ones + 1))])
     moves, start = np.zeros((2, 2)), np.zeros(2)
     squares = [np.full(x.shape, 1e-8) for x in (own, before, after, bias, moves, start)]
-    total = max(1.0, y.sum())
+    total = max(1.0, ones)
     for _ in range(EPOCHS):
         word = np.bincount(owner, own[feature], len(names))
-        e = word[ids] + bias[0]
-        e[1:] += np.where(starts[1:], 0, before[head[ids[:-1]]])
-        e[:-1] += np.where(last[:-1], 0, after[head[ids[1:]]])
-        alpha, beta = forward_backward(e, starts, moves, start)
-        p = alpha[:, 1] * beta[:, 1] / (alpha * beta).sum(axis=1)
-        r = (y - p) / total
-        per_word = np.bincount(ids, r, len(names))
-        previous, following = np.where(starts[1:], 0, r[1:]), np.where(last[:-1], 0, r[:-1])
-        inner = np.flatnonzero(~starts)
-        pair = alpha[inner - 1][:, :, None] * np.exp(moves)[None] * (np.exp(np.clip(np.stack([0 * e[inner], e[inner]], 1), -30, 30)) * beta[inner])[:, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        seen = np.zeros((2, 2))
-        np.add.at(seen, (y[inner - 1].astype(int), y[inner].astype(int)), 1)
-        s = np.flatnonzero(starts)
-        gradients = (
-            np.bincount(feature, per_word[owner], BUCKETS) - 1e-4 * own,
-            np.bincount(head[ids[:-1]], previous, BUCKETS) - 1e-3 * before,
-            np.bincount(head[ids[1:]], following, BUCKETS) - 1e-3 * after,
-            np.array([r.sum()]),
-            (seen - pair.sum(axis=0)) / total - 1e-3 * moves,
-            np.array([(1 - y[s] - (1 - p[s])).sum(), (y[s] - p[s]).sum()]) / total - 1e-3 * start,
-        )
+        per_word = np.zeros(len(names))
+        to_before, to_after = -1e-3 * before, -1e-3 * after
+        to_bias, to_moves, to_start = np.zeros(1), -1e-3 * moves, -1e-3 * start
+        for ids, starts, y in portions:
+            last, heads = np.append(starts[1:], True), head[ids]
+            e = word[ids] + bias[0]
+            e[1:] += np.where(starts[1:], 0, before[heads[:-1]])
+            e[:-1] += np.where(last[:-1], 0, after[heads[1:]])
+            alpha, beta = forward_backward(e, starts, moves, start)
+            p = alpha[:, 1] * beta[:, 1] / (alpha * beta).sum(axis=1)
+            r = (y - p) / total
+            per_word += np.bincount(ids, r, len(names))
+            to_before += np.bincount(heads[:-1], np.where(starts[1:], 0, r[1:]), BUCKETS)
+            to_after += np.bincount(heads[1:], np.where(last[:-1], 0, r[:-1]), BUCKETS)
+            to_bias += r.sum()
+            inner = np.flatnonzero(~starts)
+            weight = np.exp(np.clip(e[inner], -30, 30))
+            pair = {(i, j): alpha[inner - 1, i] * np.exp(moves[i, j]) * beta[inner, j] * (weight if j else 1.0) for i in (0, 1) for j in (0, 1)}
+            whole = sum(pair.values())
+            for (i, j), v in pair.items():
+                to_moves[i, j] += (((y[inner - 1] == i) & (y[inner] == j)).sum() - (v / whole).sum()) / total
+            s = np.flatnonzero(starts)
+            to_start += np.array([(p[s] - y[s]).sum(), (y[s] - p[s]).sum()]) / total
+        to_own = np.bincount(feature, per_word[owner], BUCKETS) - 1e-4 * own
+        gradients = (to_own, to_before, to_after, to_bias, to_moves, to_start)
         for x, g, q in zip((own, before, after, bias, moves, start), gradients, squares):
             q += g * g
             x += 0.3 * g / np.sqrt(q)
     chain = Chain(own.astype(np.float32), before.astype(np.float32), after.astype(np.float32), float(bias[0]), moves, start, np.zeros(3))
-    lexicon = Lexicon(chain)
-    e = np.concatenate([lexicon.emissions(d) for d in docs if d])
-    x = _evidence(marginals(e, starts, chain), lengths)
+    lexicon, spelled, evidence = Lexicon(chain), list(words), []
+    for a, b in _portions(docs):
+        parts = [lexicon.emissions([spelled[w] for w in d]) for d in docs[a:b] if len(d)]
+        e = np.concatenate(parts) if parts else np.empty(0)
+        evidence.append(_evidence(marginals(e, _first_words(lengths[a:b]), chain), lengths[a:b]))
     weight = np.where(toxic, rate / toxic.mean(), (1 - rate) / (1 - toxic.mean()))
-    chain.curve = _curve(x, toxic.astype(float), weight)
+    chain.curve = _curve(np.concatenate(evidence), toxic.astype(float), weight)
     return chain
 
 
