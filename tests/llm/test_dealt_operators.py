@@ -1,0 +1,168 @@
+"""Mixing, archives, repeated spans and secrets against brute force, with nulls, ties, repeats and empty tables."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rollscore.llm import archives, mixing, repeats, secrets
+from rollscore.llm.storage import Workspace
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, text_hash int, doc int"
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, 0, 1, 2) for i, t, s in rows], DOCS)
+
+
+def _mix_rows():
+    rows = [(i, "word " * (10 + i % 7), "hot") for i in range(600)]
+    rows += [(1000 + i, "some other words " * 3, f"s{i % 5}") for i in range(100)]
+    return rows + [(2000, None, None), (2001, "a b c", None), (2002, "", "blank"), (1000, "some other words " * 3, "s0")]
+
+
+def test_mixing_matches_brute_force(spark):
+    mix = mixing.Mix(entropy=0.8, max_repeats=6.0, block_words=200)
+    got = mixing.placed(_docs(spark, _mix_rows()), mix).collect()
+    assert len(got) == len(_mix_rows())
+    words = {}
+    for _, text, source in _mix_rows():
+        words[source] = words.get(source, 0) + len((text or "").split())
+    known = {s: n for s, n in words.items() if n}
+    total = sum(known.values())
+
+    def weights(a):
+        raw = {s: (n / total) ** a for s, n in known.items()}
+        return {s: v / sum(raw.values()) for s, v in raw.items()}
+
+    def fits(a):
+        entropy = -sum(w * math.log(w) for w in weights(a).values())
+        return entropy <= 0.8 * math.log(len(known)) and (max(known.values()) / min(known.values())) ** (1 - a) <= 6
+
+    low, high = 0.0, 1.0
+    for _ in range(40):
+        middle = (low + high) / 2
+        low, high = (low, middle) if fits(middle) else (middle, high)
+    assert got[0]["__exponent"] == pytest.approx(high, abs=1e-5)
+    target = weights(got[0]["__exponent"])
+    budget = max(known[s] / target[s] for s in known)
+    for s in known:
+        rows = [r for r in got if r.source == s]
+        longest = max(r["__words"] for r in rows)
+        used = sum(r["__words"] * r["__copies"] for r in rows)
+        # The words of the last pass are rounded to whole ones.
+        assert -0.51 <= budget * target[s] - used <= 2 * longest + 1
+        assert all(r["__copies"] >= 1 for r in rows) and max(r["__copies"] for r in rows) - min(r["__copies"] for r in rows) <= 1
+    assert [r["__copies"] for r in got if r.source == "blank"] == [1]
+
+
+def test_mixing_budget_and_empty(spark):
+    docs = _docs(spark, _mix_rows())
+    assert mixing.mixture(docs.where("false")).count() == 0
+    small = mixing.mixture(docs, mixing.Mix(budget=1000, block_words=100))
+    assert small.columns == [*docs.columns, "slot"]
+    assert small.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] <= 1000
+
+
+def test_archives_against_brute_force(spark):
+    long, other = "<p>" + "x" * 200 + "é</p>", "y" * 100
+    rows = [(5, "http://a/1", long), (3, "http://b/ 2", long), (3, "http://b/3", long), (9, None, long), (7, "u", None), (8, "u", ""), (1, "u", "short"),
+            (2, "u", "short"), (None, "n", long), (11, "v", other), (12, "v", other + "!"), (13, "w", other), (14, "w", "z" * 2_000_000)]
+    pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, digest int").repartition(3)
+    got = sorted((r.page_id or -1, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or -1) for r in archives.report(pages).collect())
+    wanted = []
+    for page_id, _, html in rows:
+        body = (html or "").encode()
+        low = min((p for p, _, h in rows if p is not None and (h or "") == (html or "")))
+        again = page_id is not None and len(body) >= 100 and page_id > low
+        wanted.append((page_id or -1, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", low if again else -1))
+    assert got == sorted(wanted)
+    assert archives.report(pages.where("false")).count() == 0
+
+
+def test_both_archive_versions(tmp_path):
+    import gzip
+    import io
+
+    for version in (1, 2):
+        data = gzip.compress(archives.version_block(version, "f.arc", "20010203040506")) + gzip.compress(
+            archives.arc_record(version, "http://a/", "1.2.3.4", "20010203", "text/html; charset=x", b"HTTP/1.0 200 OK\r\n\r\nbody\n\n")
+        )
+        ((fields, content),) = archives.parse_arc(archives._Unzipped(io.BytesIO(data)))
+        assert fields["Content-type"] == "text/html; charset=x" and archives._http_parts(content)[1] == b"body\n\n"
+        assert archives.warc_date(fields["Archive-date"]) == "2001-02-03T00:00:00Z"
+
+
+def _removed(rows, length):
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        data = (text or "").encode()
+        mark = np.zeros(len(data), bool)
+        for i in range(len(data) - length + 1):
+            if data[i : i + length] in seen:
+                mark[i : i + length] = True
+            seen.add(data[i : i + length])
+        edges = np.diff(np.concatenate([[0], mark.astype(int), [0]]))
+        out.append((doc_id, len(data), int(mark.sum()), int((edges == 1).sum()), hashlib.sha256(bytes(np.frombuffer(data, np.uint8)[~mark])).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+def test_repeats_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdé fgh") for _ in range(n))
+    shared, whole = text(260), text(900)
+    rows = [(i, text(rng.randrange(0, 400)) + shared[rng.randrange(120) :] + text(50)) for i in range(40)]
+    rows += [(100 + i, whole) for i in range(5)] + [(200, None), (201, ""), (202, "ab" * 400), (203, "x" * 99), (204, "x" * 99), (205, whole[:500] + "?" + whole[500:])]
+    docs = _docs(spark, [(i, t, "s") for i, t in rows]).repartition(4)
+    got = sorted(tuple(r) for r in repeats.report(docs).collect())
+    assert got == _removed(rows, 100)
+    assert repeats.report(docs.where("false")).count() == 0
+
+
+def test_deep_shallow_orders_and_groups():
+    rng = np.random.default_rng(1)
+    rows = np.repeat(rng.integers(97, 99, (300, 60), dtype=np.uint8), rng.integers(1, 4, 300), axis=0)
+    rows[::7, 5:50] = 97
+    groups = repeats.deep_shallow(rows, 60)
+    strings = [[rows[i].tobytes() for i in g] for g in groups]
+    assert all(len(set(g)) == 1 for g in strings)
+    assert [g[0] for g in strings] == sorted({r.tobytes() for r in rows})
+
+
+def test_secrets_find_assigned_keys(spark):
+    rng = random.Random(2)
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = [(i, f'plain words here token = "{key()}" and administration responsibilities', "s") for i in range(60)]
+    rows += [(100 + i, f"see commit {key()} in internationalization of 4785380592391140", "s") for i in range(60)]
+    rows += [(300, None, None), (301, "", "s"), (0, rows[0][1], "s")]
+    got = secrets.scan(_docs(spark, rows)).collect()
+    assert len([r for r in got if r.doc_id == 0]) == 2 * len([r for r in got if r.doc_id == 1])
+    for r in got:
+        assert r.secret == (r.doc_id < 100 and len(r.candidate) == 40), r
+    assert secrets.report(_docs(spark, rows).where("false")).count() == 0
+
+
+def test_forest_conditions_equal_trees(spark):
+    rng = np.random.default_rng(0)
+    names = list(secrets.features())
+    x = rng.random((200, len(names)))
+    y = (x[:, 0] + x[:, 3] > 1).astype(float)
+    forest = secrets.grow_forest(x, y)
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"f_{n} double" for n in names))
+    got = [r.score for r in secrets.judged(rows, forest).collect()]
+
+    def vote(node, r):
+        while node.feature >= 0:
+            node = node.low if r[node.feature] <= node.cut else node.high
+        return node.share
+
+    assert got == pytest.approx([sum(vote(t, r) for t in forest) / len(forest) for r in x], abs=1e-8)
+
+
+def test_workspace_address(spark):
+    assert ":" in Workspace(spark, "test").address("x")
