@@ -17,6 +17,13 @@ GROUP_KEYS = ("run_id", "step", "task_id")
 STEP_KEYS = ("run_id", "step")
 
 
+def normalizes_by_std(loss_type: str) -> bool:
+    """Which advantages a loss is fed: divided by the group's deviation for ``grpo``, only centred for ``dr_grpo``."""
+    if loss_type not in ("grpo", "dr_grpo"):
+        raise ValueError(f"unknown loss type {loss_type!r}")
+    return loss_type == "grpo"
+
+
 def group_advantages(
     scored: DataFrame,
     normalize_by_std: bool = True,

@@ -101,6 +101,12 @@ def metrics_wide(long: DataFrame, tags: Sequence[str], keys: Sequence[str] = STE
     return long.groupBy(*keys).pivot("tag", list(tags)).agg(F.first("value", ignorenulls=True))
 
 
+def _number(score: str) -> Column:
+    """The score; NULL where it is NaN, which is never better than another and never beaten."""
+    s = F.col(score).cast("double")
+    return F.when(~F.isnan(s), s)
+
+
 def running_best(
     history: DataFrame,
     keys: Sequence[str] = ("run_id", "category"),
@@ -116,7 +122,7 @@ def running_best(
     ``init`` is the starting best (0.0 in two trainers). ``init=None`` makes
     the first row of each group the initial best (it counts as saved, as the
     stabilised trainer saves its initial model)."""
-    s = F.col(score).cast("double")
+    s = _number(score)
     chunk = F.floor(F.col(step) / F.lit(chunk_steps)).cast("bigint")
     with_chunk = history.withColumn("__chunk", chunk)
     chunk_max = with_chunk.groupBy(*keys, "__chunk").agg(F.max(s).alias("__cmax"))
@@ -128,14 +134,14 @@ def running_best(
     out = joined.withColumn("prev_best", prev)
     if init is None:
         best_before = F.col("prev_best")
-        is_best = best_before.isNull() | (s > best_before)
+        is_best = s.isNotNull() & (best_before.isNull() | (s > best_before))
     else:
         best_before = F.greatest(F.col("prev_best"), F.lit(float(init)))
         is_best = s > best_before
     return out.select(
         *[c for c in history.columns], "prev_best",
         F.greatest(best_before, s).alias("best_score"),
-        is_best.alias("is_best"),
+        F.coalesce(is_best, F.lit(False)).alias("is_best"),
     )
 
 
@@ -147,8 +153,9 @@ def new_bests(history: DataFrame, **kw) -> DataFrame:
 def final_best(history: DataFrame, keys: Sequence[str] = ("run_id", "category"), step: str = "step",
                score: str = "score") -> DataFrame:
     """Best score per group and the earliest step that reached it."""
-    key: Column = F.struct(-F.col(score).cast("double"), F.col(step))
+    s = _number(score)
+    key: Column = F.when(s.isNotNull(), F.struct(-s, F.col(step)))
     return history.groupBy(*keys).agg(
-        F.max(F.col(score).cast("double")).alias("best_score"),
+        F.max(s).alias("best_score"),
         F.min_by(F.col(step), key).alias("best_step"),
     )

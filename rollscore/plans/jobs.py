@@ -68,7 +68,7 @@ def training_step_job(
 
     adv = A.group_advantages(
         scored_t.select("run_id", "step", "task_id", "prompt_ord", "slot", "reward", "output_tokens"),
-        normalize_by_std=(loss_type == "grpo"), eps=advantage_eps, stabilized=stabilized,
+        normalize_by_std=A.normalizes_by_std(loss_type), eps=advantage_eps, stabilized=stabilized,
     )
     adv.write.mode("overwrite").partitionBy("run_id").parquet(paths["advantages"])
     adv_t = spark.read.parquet(paths["advantages"])

@@ -124,15 +124,17 @@ _P = "-((task_id * 31 + slot * 7 + i * 13) % 50) / 10.0::DOUBLE"
 _O = "-((task_id * 11 + slot * 5 + i * 17) % 50) / 10.0::DOUBLE"
 _Q = "-((task_id * 19 + slot * 3 + i * 23) % 50) / 10.0::DOUBLE"
 _LOSS_CTES = f""",
-adv AS (SELECT run_id, step, task_id, slot, prompt_ord, (r - avg(r) OVER g) / (stddev_pop(r) OVER g + 1e-6) AS a
+adv AS (SELECT run_id, step, task_id, slot, prompt_ord, (r - avg(r) OVER g) / (stddev_pop(r) OVER g + 1e-6) AS a,
+        r - avg(r) OVER g AS ac
         FROM rewarded WINDOW g AS (PARTITION BY run_id, step, task_id)),
 tok AS (SELECT *, unnest(range(4 + task_id % 9)) AS i FROM adv),
 tv AS (SELECT *, {_P} AS p, {_O} AS o, {_Q} AS q, i >= task_id % 3 AS m FROM tok),
 tl AS (SELECT *, exp(p - o) AS ratio,
-              -least(a * exp(p - o), a * least(greatest(exp(p - o), 0.8), 1.2)) AS tl FROM tv),
+              -least(a * exp(p - o), a * least(greatest(exp(p - o), 0.8), 1.2)) AS tl,
+              -least(ac * exp(p - o), ac * least(greatest(exp(p - o), 0.8), 1.2)) AS tlc FROM tv),
 seq AS (SELECT run_id, step, task_id, slot, prompt_ord,
                sum(CASE WHEN m THEN tl ELSE 0.0 END) / greatest(count_if(m), 1) AS seq_grpo,
-               sum(CASE WHEN m THEN tl ELSE 0.0 END) / 256.0 AS seq_dr,
+               sum(CASE WHEN m THEN tlc ELSE 0.0 END) / 256.0 AS seq_dr,
                sum(CASE WHEN m THEN tl + 0.01 * (p - q) ELSE 0.0 END) / greatest(count_if(m), 1) AS seq_kl_loss,
                sum(CASE WHEN m THEN p - q ELSE 0.0 END) / greatest(count_if(m), 1) AS seq_kl,
                sum(tl) AS loss_sum, min(tl) AS loss_min, max(tl) AS loss_max
@@ -143,16 +145,16 @@ def _loss_sql(body: str) -> str:
     return _rewarded_sql("hybrid", body, _LOSS_CTES)
 
 
-def _with_advantage(spark: SparkSession, sf: str) -> DataFrame:
+def _with_advantage(spark: SparkSession, sf: str, loss_type: str = "grpo") -> DataFrame:
     """Advantages on narrow rows, token arrays attached after the window:
     per-token arrays never go through a shuffle."""
     scored = score(FX.rollouts_with_tasks(spark, sf), reward="hybrid", scale=5.0)
     narrow = scored.select("run_id", "step", "task_id", "prompt_ord", "slot", "reward", "output_tokens")
-    return FX.with_logprob_arrays(A.group_advantages(narrow, normalize_by_std=True, eps=1e-6))
+    return FX.with_logprob_arrays(A.group_advantages(narrow, normalize_by_std=A.normalizes_by_std(loss_type), eps=1e-6))
 
 
 def _seq(spark: SparkSession, sf: str, **kw) -> DataFrame:
-    return LO.sequence_losses(_with_advantage(spark, sf), clip_range=0.2, **kw)
+    return LO.sequence_losses(_with_advantage(spark, sf, kw["loss_type"]), clip_range=0.2, **kw)
 
 
 register("ratio_stats", _loss_sql(

@@ -33,7 +33,9 @@ def read_tasks(spark: SparkSession, path: str, split: str | None = None, fmt: st
         df = read_jsonl(spark, path, schemas.TASK_JSON)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    if split is not None and "split" in df.columns:
+    if split is not None:
+        if "split" not in df.columns:
+            raise ValueError(f"{path} has no split column to select {split!r} from")
         df = df.where(F.col("split") == split)
     return df
 

@@ -232,3 +232,34 @@ def test_running_best_with_a_hot_run(spark):
     assert got.count() == plain.count()
     per_window = hist.groupBy("run_id", "category", F.floor(F.col("step") / 500)).count()
     assert per_window.agg(F.max("count")).first()[0] <= 500
+
+
+def test_nan_scores_are_never_best(spark):
+    from rollscore.operators.metrics import final_best, running_best
+
+    rows = [("r", "c", i, s) for i, s in enumerate([0.5, float("nan"), 0.9, 0.7])]
+    history = spark.createDataFrame(rows, "run_id string, category string, step long, score double")
+    assert [r.is_best for r in running_best(history).orderBy("step").collect()] == [True, False, True, False]
+    assert [r.is_best for r in running_best(history, init=None).orderBy("step").collect()] == [True, False, True, False]
+    best = final_best(history).first()
+    assert (best.best_score, best.best_step) == (0.9, 2)
+
+
+def test_split_needs_a_split_column(spark, tmp_path):
+    import pytest
+
+    from rollscore.sources.readers import read_tasks
+
+    spark.createDataFrame([(1, [2, 3])], "target long, nums array<long>").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError):
+        read_tasks(spark, str(tmp_path / "t"), split="test")
+
+
+def test_advantages_follow_the_loss_type():
+    import pytest
+
+    from rollscore.operators.advantages import normalizes_by_std
+
+    assert normalizes_by_std("grpo") and not normalizes_by_std("dr_grpo")
+    with pytest.raises(ValueError):
+        normalizes_by_std("other")
