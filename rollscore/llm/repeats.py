@@ -240,15 +240,19 @@ def _sorted_repeats(length: int):
 
 
 def _hot_repeats(pieces: DataFrame, length: int) -> DataFrame:
-    """Repeated strings around very frequent anchors: dealt by content, first occurrences found before the join."""
+    """Repeated strings around very frequent anchors: dealt by content and aggregated to first occurrences, which
+    go back to their regions; what a region has besides is repeated. Its strings all overlap, so it has one run."""
+    region = ["doc", "at", "before"]
     each = pieces.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("before") - F.col("after")))).select(
-        "doc", (F.col("at") - F.col("before") + F.col("k")).alias("start"), F.sha2(F.substring("bytes", F.col("k") + 1, F.lit(length)), 256).alias("string")
+        F.sha2(F.substring("bytes", F.col("k") + 1, F.lit(length)), 256).alias("string"),
+        F.struct("doc", (F.col("at") - F.col("before") + F.col("k")).alias("start"), "at", "before").alias("place"),
     )
-    firsts = each.groupBy("string").agg(F.min(F.struct("doc", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    firsts = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    each = each.withColumn("salt", F.pmod(F.xxhash64("doc", "start"), F.lit(SALTS)).cast("int"))
-    found = each.join(firsts, ["string", "salt"]).where(F.struct("doc", "start") != F.col("first"))
-    return found.select("doc", "start", (F.col("start") + length).alias("stop"))
+    firsts = each.groupBy("string").agg(F.min("place").alias("place"))
+    kept = firsts.groupBy(*(F.col(f"place.{c}") for c in region)).agg(F.collect_list("place.start").alias("kept"))
+    starts = F.sequence(F.col("at") - F.col("before"), F.col("at") - F.col("after"))
+    gone = F.array_except(starts, F.coalesce("kept", F.array().cast("array<bigint>")))
+    found = pieces.select(*region, "after").join(kept, region, "left").select("doc", gone.alias("gone")).where(F.size("gone") > 0)
+    return found.select("doc", F.array_min("gone").alias("start"), (F.array_max("gone") + length).alias("stop"))
 
 
 def _cut(spans: list[dict], n: int) -> tuple[list[tuple[int, int]], int]:
@@ -313,7 +317,7 @@ def repeated(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     places = lists.join(keys.select("doc", "doc_id", "digest"), "doc")
     pieces = docs.alias("d").join(places.alias("k"), same_id).select("d.text", "k.wanted")
     pieces = pieces.mapInArrow(_pieces(length), "doc long, at long, before int, after int, gram long, hot boolean, bytes binary")
-    pieces = ws.save(pieces.dropDuplicates(["doc", "at"]) if _repeats_rows(docs, keys) else pieces, "pieces")
+    pieces = ws.save(pieces.dropDuplicates(["doc", "at", "before"]) if _repeats_rows(docs, keys) else pieces, "pieces")
     rare = pieces.where("not hot")
     buckets = max(1, -(-rare.count() // BUCKET_REGIONS))
     sorted_ = rare.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("bucket").applyInArrow(
