@@ -67,8 +67,11 @@ def _tag_pattern(word: str) -> str:
 
 
 # Content of an answer tag: case-insensitive (as Python's re.IGNORECASE), dot
-# matches newline, surrounding whitespace excluded.
-ANSWER_PATTERN = f"(?s){_tag_pattern('<answer>')}{WS}*(.*?){WS}*{_tag_pattern('</answer>')}"
+# matches newline. Surrounding whitespace is trimmed afterwards, which keeps
+# the match linear in runs of blanks.
+ANSWER_PATTERN = f"(?s){_tag_pattern('<answer>')}(.*?){_tag_pattern('</answer>')}"
+UP_TO_LAST_CLOSE = f"(?s)\\A.*{_tag_pattern('</answer>')}"
+PY_SPACES = "".join(map(chr, PY_SPACE_CODEPOINTS))
 
 
 def extract_answer(text) -> Column:
@@ -77,14 +80,16 @@ def extract_answer(text) -> Column:
     NULL when the text is NULL/empty or has no tag; ``""`` for an empty tag.
     A plain substring test on the lower-cased text (``"</an"`` has no other
     case-insensitive spellings) skips the regex for text without a closing
-    tag, the common case in long documents.
+    tag, the common case in long documents. Text after the last closing tag
+    is cut first, so that no unclosed tag starts a scan to the end.
     """
     t = as_col(text)
-    matches = F.regexp_extract_all(t, F.lit(ANSWER_PATTERN), 1)
+    closed = F.regexp_extract(t, UP_TO_LAST_CLOSE, 0)
+    matches = F.regexp_extract_all(closed, F.lit(ANSWER_PATTERN), 1)
     # "</" has no case variants: a plain substring test skips tag-free prose
     # before the lower-cased copy is made.
     candidate = t.contains("</") & (F.instr(F.lower(t), "</an") > 0)
-    return F.when(candidate, F.try_element_at(matches, F.lit(-1)))
+    return F.when(candidate, py_strip(F.try_element_at(matches, F.lit(-1))))
 
 
 def has_answer_tags(text) -> Column:
@@ -106,8 +111,7 @@ def word_count(text) -> Column:
 
 def py_strip(text) -> Column:
     """Python ``str.strip()``: remove leading and trailing Unicode whitespace."""
-    t = F.regexp_replace(as_col(text), F.lit(r"\A" + WS + "+"), F.lit(""))
-    return F.regexp_replace(t, F.lit(WS + r"+\z"), F.lit(""))
+    return F.btrim(as_col(text), F.lit(PY_SPACES))
 
 
 def truncate_at_stop(text, stop: str = ANSWER_CLOSE) -> Column:

@@ -50,9 +50,9 @@ def sample_steps(
     step, with ``prompt_ord`` = position in the sample.
 
     ``row_number() <= k`` per step is planned as a WindowGroupLimit, so each
-    map task ships at most k candidates per step to the shuffle. Steps with
-    fewer than k tasks return all of them (the reference raises; use
-    :func:`check_population`)."""
+    map task ships at most k candidates per step to the shuffle. Fewer than k
+    tasks raise, as ``random.sample`` does (one count)."""
+    check_population(tasks, k)
     steps = F.sequence(F.lit(first_step).cast("bigint"), F.lit(first_step + n_steps - 1).cast("bigint"))
     cand = tasks.select("*", F.explode(steps).alias("step"))
     cand = cand.withColumn("__k", _sample_key(seed, F.col("step"), F.col(key)))
