@@ -54,9 +54,23 @@ def sample_steps(
     tasks raise, as ``random.sample`` does (one count)."""
     check_population(tasks, k)
     steps = F.sequence(F.lit(first_step).cast("bigint"), F.lit(first_step + n_steps - 1).cast("bigint"))
-    cand = tasks.select("*", F.explode(steps).alias("step"))
+    return _first_k(tasks.select("*", F.explode(steps).alias("step")), k, seed, key)
+
+
+def sample_found_steps(
+    tasks: DataFrame, steps: DataFrame, k: int, seed: int = 42, key: str = "task_id", within: Sequence[str] = ()
+) -> DataFrame:
+    """P9 for each distinct ``step`` of ``steps``, by the same keys as
+    ``sample_steps``. Each value of ``within`` is a population of its own, and
+    one with fewer than k tasks raises (one count for each)."""
+    for row in tasks.groupBy(*within).count().collect():
+        _check_size(row["count"], k)
+    return _first_k(tasks.crossJoin(steps.select("step").distinct()), k, seed, key, within)
+
+
+def _first_k(cand: DataFrame, k: int, seed: int, key: str, within: Sequence[str] = ()) -> DataFrame:
     cand = cand.withColumn("__k", _sample_key(seed, F.col("step"), F.col(key)))
-    w = Window.partitionBy("step").orderBy("__k", key)
+    w = Window.partitionBy(*within, "step").orderBy("__k", key)
     ranked = cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
     return ranked.select(*[c for c in ranked.columns if c not in ("__k", "__rn")],
                          (F.col("__rn") - 1).cast("bigint").alias("prompt_ord"))
@@ -64,7 +78,10 @@ def sample_steps(
 
 def check_population(tasks: DataFrame, k: int) -> None:
     """Raise like ``random.sample`` when there are fewer than ``k`` tasks (an action)."""
-    n = tasks.count()
+    _check_size(tasks.count(), k)
+
+
+def _check_size(n: int, k: int) -> None:
     if k > n:
         raise ValueError(f"Sample larger than population or is negative: k={k}, n={n}")
 

@@ -107,6 +107,16 @@ register("best_so_far_b", _HIST +
             report_double(F.col("best_score")).alias("best_score"), "is_best")
 )
 
+# best_so_far_b over the whole history: every category, named in the output (best_so_far_c is that of best_so_far_a).
+register("best_so_far_b_all", _HIST +
+         f"SELECT run_id, category, step, {rd('score')} AS score, "
+         f"{rd('CASE WHEN prev IS NULL THEN score ELSE greatest(prev, score) END')} AS best_score, "
+         "prev IS NULL OR score > prev AS is_best FROM w")(
+    lambda spark, sf: M.running_best(_history(spark, sf), init=None, chunk_steps=_CHUNK)
+    .select("run_id", "category", "step", report_double(F.col("score")).alias("score"),
+            report_double(F.col("best_score")).alias("best_score"), "is_best")
+)
+
 register("best_so_far_c", _HIST +
          f"SELECT run_id, category, step, {rd('score')} AS score FROM w WHERE score > greatest(coalesce(prev, 0.0), 0.0)")(
     lambda spark, sf: M.new_bests(_history(spark, sf), init=0.0, chunk_steps=_CHUNK)

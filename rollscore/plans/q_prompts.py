@@ -146,11 +146,27 @@ register("sample_prompts", _tasks_sql(
         "step", "task_id", "prompt_ord")
 )
 
+# Every task and every step of the rollouts; each split is a population of its own.
+register("sample_prompts_all", _tasks_sql(
+    ", s AS (SELECT DISTINCT step FROM task_parts), c AS (SELECT t.split, t.task_id, s.step FROM task_parts t CROSS JOIN s), "
+    "k AS (SELECT *, md5(concat_ws(':', '42', CAST(step AS VARCHAR), CAST(task_id AS VARCHAR))) AS h FROM c), "
+    "r AS (SELECT split, step, task_id, row_number() OVER (PARTITION BY split, step ORDER BY h, task_id) - 1 AS prompt_ord FROM k) "
+    "SELECT split, step, task_id, CAST(prompt_ord AS BIGINT) AS prompt_ord FROM r WHERE prompt_ord < 16"))(
+    lambda spark, sf: TS.sample_found_steps(
+        FX.tasks(spark, sf), FX.rollouts(spark, sf).select("step"), 16, 42, within=["split"]
+    ).select("split", "step", "task_id", "prompt_ord")
+)
+
 register("group_expand", _tasks_sql(
     "SELECT task_id, CAST(unnest(range(8)) AS BIGINT) AS slot FROM task_parts WHERE split = 'test'"))(
     lambda spark, sf: TS.expand_groups(FX.tasks(spark, sf).where(F.col("split") == "test").select("task_id"), 8)
 )
 
+register("group_expand_all", _tasks_sql(
+    "SELECT split, task_id, CAST(unnest(range(8)) AS BIGINT) AS slot FROM task_parts"))(
+    lambda spark, sf: TS.expand_groups(FX.tasks(spark, sf).select("split", "task_id"), 8)
+)
+
 register("rollout_flatten", "WITH " + ROLLOUT_PARTS.strip() +
          "\nSELECT run_id, step, task_id, slot AS output_ord, response FROM rollout_parts WHERE task_id % 7 <> 0")(
     lambda spark, sf: TS.flatten_outputs(FX.nested_rollouts(spark, sf))
