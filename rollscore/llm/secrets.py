@@ -10,7 +10,9 @@
    written as nested conditions, so the scan stays in DataFrame expressions.
 
 Labels are an input of ``fit``. The tables hold none, so the query takes those of
-``assigned``: a candidate that a credential's name is assigned to is a finding.
+``assigned``: a candidate that a credential's name is assigned to is a finding;
+beside the name of a harmless identifier, in a path or as a plain word or number
+it is none. All others are unlabelled (null) and not in the sample.
 
 Defined cases
 * null or blank text has no candidates; a text without any gives no rows;
@@ -34,6 +36,12 @@ CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
 #: Names that credentials are assigned to, and names of harmless identifiers.
 CREDENTIAL = r"(?i)(secret|token|passw|pwd|api[_-]?key|access[_-]?key|private|credential|auth|bearer)"
 HARMLESS = r"(?i)(commit|sha1|sha256|md5|hash|digest|uuid|guid|checksum|phone|card|isbn)"
+#: What ends before an assigned value: a name, quoted or not, a sign, opening quotes or brackets, and an authorisation scheme.
+ASSIGNED = r"""([A-Za-z0-9_.\-]+)["'`\])]*\s*(?:[=:]{1,3}>?)\s*["'`(\[{<]*(?:(?i:bearer|basic|token)\s+)?["'`(\[{<]*$"""
+OWN_NAME = r"^([A-Za-z0-9_\-]+=+)[^=]"
+PATH = r"://|^[./~]|\.[a-z]{2,4}(/|$)"
+PLAIN = r"^([A-Za-z]?[a-z]+(-[a-z]+)*|[0-9]+)$"
+CONTEXT = 200
 TRAIN_FINDINGS = 2000
 TREES = 15
 DEPTH = 5
@@ -43,7 +51,8 @@ SALTS = 32
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """doc_id, word (its index), nth (in the word), candidate, and the words around: before, name, inside, after."""
+    """doc_id, word (its index), nth (in the word), candidate, lead (what stands before it in the word, from the previous one on),
+    and the words around: before, name, inside, after."""
     words = F.split("text", r"\s+")
     docs = documents.select("doc_id", "text").where(F.col("text").rlike(CANDIDATE)).select("doc_id", words.alias("words"))
     hits = F.filter(
@@ -55,7 +64,11 @@ def candidates(documents: DataFrame) -> DataFrame:
         F.coalesce(F.get("words", F.col("hit.i") - 2), F.lit("")).alias("name"),
         F.coalesce(F.get("words", F.col("hit.i") + 1), F.lit("")).alias("after"),
     )
-    return rows.select("*", F.posexplode(F.regexp_extract_all("inside", F.lit(CANDIDATE), F.lit(0))).alias("nth", "candidate"))
+    runs, between = F.regexp_extract_all("inside", F.lit(CANDIDATE), F.lit(0)), F.split("inside", CANDIDATE)
+    leads = F.zip_with(F.concat(F.array(F.lit("")), runs), between, lambda previous, text: F.concat(previous, text))
+    found = F.zip_with(runs, leads, lambda c, lead: F.struct(c.alias("candidate"), lead.alias("lead")))
+    rows = rows.select("*", F.posexplode(found).alias("nth", "hit")).where(F.col("hit.candidate").isNotNull())
+    return rows.select("*", "hit.candidate", "hit.lead").drop("hit")
 
 
 def _pieces(text: str | Column) -> Column:
@@ -91,7 +104,7 @@ def features() -> dict[str, Column]:
         "digit_letter": turns("0-9", "A-Za-z"), "letter_digit": turns("A-Za-z", "0-9"), "case_turns": turns("a-z", "A-Z"),
         "vowel_turns": turns("aeiou", "b-df-hj-np-tv-z"),
         "covered": F.coalesce("covered", F.lit(0)) / size,
-        "path": flag(F.col("inside").rlike(r"://|^[./~]|\.[a-z]{2,4}(/|$)")), "slashes": _count("inside", "/") / F.length("inside"),
+        "path": flag(F.col("inside").rlike(PATH)), "slashes": _count("inside", "/") / F.length("inside"),
         "quoted": flag(F.col("inside").rlike("[\"'`]")), "assigned": flag(F.concat("before", "inside").rlike("[=:]")),
         "credential": flag(F.concat_ws(" ", "name", "before", F.regexp_replace("inside", CANDIDATE, "")).rlike(CREDENTIAL)),
         "harmless": flag(F.concat_ws(" ", "name", "before", "after").rlike(HARMLESS)),
@@ -108,10 +121,13 @@ def described(documents: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def assigned() -> Column:
-    """Label of a finding: ``name = "candidate"`` (or ``:``), with a credential's name."""
-    apart = F.col("name").rlike(CREDENTIAL) & F.col("before").rlike("^[=:]+$")
-    joined = F.regexp_extract("inside", r"^[\"']?([A-Za-z_\-]+)[\"']?[=:]", 1).rlike(CREDENTIAL)
-    return (apart | joined).cast("int")
+    """Label of a finding by its context: 1, 0, or null where that does not tell."""
+    own = F.regexp_extract("candidate", OWN_NAME, 1)
+    context = F.right(F.concat(F.concat_ws(" ", "name", "before", "lead"), own), F.lit(CONTEXT))
+    to = F.regexp_extract(context, ASSIGNED, 1)
+    named, harmless = context.rlike(CREDENTIAL), context.rlike(HARMLESS)
+    other = harmless | F.col("inside").rlike(PATH) | F.col("candidate").rlike(PLAIN)
+    return F.when(to.rlike(CREDENTIAL) & ~to.rlike(HARMLESS), 1).when(~named & other, 0).cast("int")
 
 
 @dataclass(frozen=True)
@@ -158,7 +174,8 @@ def grow_forest(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = D
 
 
 def fit(labelled: DataFrame, label: str = "label", per_class: int = TRAIN_FINDINGS) -> list[Node]:
-    """The forest of labelled findings (``described`` and a 0/1 column), by a sample of at most ``per_class`` distinct ones of each class."""
+    """The forest of labelled findings (``described`` and a 0/1 column), by a sample of at most ``per_class`` distinct ones of each class.
+    Those without a label (null) are left out."""
     names = [f"f_{n}" for n in features()]
     rows = labelled.select(F.col(label).alias("label"), *names, F.xxhash64("candidate", "before", "name").alias("h")).dropDuplicates(["h", "label"])
     sample = [r for c in (0, 1) for r in rows.where(F.col("label") == c).orderBy("h").limit(per_class).collect()]
