@@ -26,12 +26,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document has at least one place; those of small sources come again."""
-    return mixing.mixture(docs).drop("slot")
+    """Every document has at least one place; those of small sources come again. ``__place`` carries the order."""
+    return mixing.ordered(docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokenfiles.report(docs)
+    """Token files in the order of the mixture."""
+    return tokenfiles.report(docs, order="__place")
 
 
 STAGES = [

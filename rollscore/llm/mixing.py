@@ -12,6 +12,7 @@
    blocks go into the whole passes; the last one takes blocks in order, then
    documents of the block that no longer fits, while the budget holds.
    ``slot`` orders the mixture: sorted by it, every stretch has the weights.
+   ``__place`` also orders the documents of a block, ``position`` numbers the places.
 
 Without a budget the smallest one is taken that gives every document a place:
 nothing is dropped, small sources are repeated.
@@ -22,7 +23,8 @@ Defined cases
 * a null source is a source of its own; null or blank text has no words;
 * a source without words has weight 0, its documents come once;
 * repeated rows are placed together; other columns are carried along, clashing
-  names included; an empty table gives an empty result.
+  names included, but names that begin with two underscores are this module's;
+* an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -149,15 +151,41 @@ def placed(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
                       F.col("weight").alias("__weight"), F.col("exponent").alias("__exponent"), F.col("passes").alias("__passes"))
 
 
-def mixture(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """One row per place in the mixture: the columns of ``documents`` and ``slot``."""
+def places(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """One row per place in the mixture: those of ``placed``, __turn, __slot and __place, by which the mixture is ordered.
+    Rows with the same __place are repeated rows."""
     rows = placed(documents, mix).where("__copies > 0").withColumn("__turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)))
     slot = (F.col("__turn") + _order(mix, F.col("__turn"))) / F.greatest(F.col("__passes"), F.lit(1.0))
-    return rows.select(*[F.col(c) for c in documents.columns], slot.alias("slot"))
+    order = F.struct("__slot", "__skey", "__block", F.xxhash64("__key", "__turn").alias("inner"), "__key")
+    return rows.withColumn("__slot", slot).withColumn("__place", order)
+
+
+def mixture(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """One row per place in the mixture: the columns of ``documents`` and ``slot``."""
+    return places(documents, mix).select(*[F.col(c) for c in documents.columns], F.col("__slot").alias("slot"))
+
+
+def ordered(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """One row per place in the mixture: the columns of ``documents`` and ``__place``, by which a later stage sorts."""
+    return places(documents, mix).select(*[F.col(c) for c in documents.columns], "__place")
+
+
+def numbered(rows: DataFrame, ws: Workspace) -> DataFrame:
+    """Rows with ``position``: 0, 1, 2, ... in the order of ``__place``, sorted in ranges."""
+    rows = ws.save(rows, "places")
+    in_order = rows.repartitionByRange("__place").sortWithinPartitions("__place").withColumn("__at", F.monotonically_increasing_id())
+    in_order = ws.save(in_order, "order").withColumn("__range", F.shiftrightunsigned("__at", 33))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    ahead = in_order.groupBy("__range").count().select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__ahead"))
+    at = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return in_order.join(ws.save(ahead, "ahead"), "__range").withColumn("position", F.col("__ahead") + at).drop("__range", "__ahead", "__at")
 
 
 def report(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    return placed(documents, mix).select(
+    """One row per place, with its position in the mixture."""
+    rows = places(documents, mix).select(
         "doc_id", "source", F.col("__words").alias("n_words"), F.col("__block").alias("block"), F.col("__copies").alias("copies"),
         F.round("__weight", 6).alias("weight"), F.round("__exponent", 6).alias("exponent"),
+        F.col("__turn").alias("turn"), F.col("__slot").alias("slot"), "__place",
     )
+    return numbered(rows, Workspace(documents.sparkSession, "mixing-order")).drop("__place")

@@ -1,8 +1,8 @@
 """Token-id files with bit-plane shuffled, zstandard-compressed blocks.
 
-Documents are range-partitioned by doc_id; each partition is encoded and
-streamed to one file, so the files in partition order hold all ids in ascending
-doc_id order. Ids are cut into blocks of a fixed size, a block's 32-bit ids are
+Documents are range-partitioned by doc_id, or by another column that orders them
+(``order``); each partition is encoded and streamed to one file, so the files in
+partition order hold all ids in ascending order of it. Ids are cut into blocks of a fixed size, a block's 32-bit ids are
 transposed into byte or bit planes, and each plane is compressed on its own
 (high planes of small ids vanish). File layout, integers little-endian:
 
@@ -245,9 +245,10 @@ MANIFEST = pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa
 
 
 def write_token_files(documents: DataFrame, folder: str, manifest_to: Workspace, tokenizer: str | None = None, end_id: int = END_ID,
-                      kind: int = 8, block_ids: int = BLOCK_IDS) -> DataFrame:
+                      kind: int = 8, block_ids: int = BLOCK_IDS, order: str = "doc_id") -> DataFrame:
     """Writes the files below ``folder`` (any address pyarrow opens) and returns the stored manifest."""
-    docs = documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keys = list(dict.fromkeys([order, "doc_id", "text"]))
+    docs = documents.select(*keys).repartitionByRange(order).sortWithinPartitions(*keys).select("doc_id", "text")
     rows = docs.mapInArrow(_write(folder, tokenizer or tokenizer_file(), end_id, kind, block_ids), "part int, path string, n_docs long, n_ids long")
     return manifest_to.save(rows, "manifest")
 
@@ -282,9 +283,9 @@ def read_token_files(manifest: DataFrame, folder: str, id_type: T.DataType) -> D
     return files.select("path", "start").repartition(max(1, manifest.count())).mapInArrow(_documents(folder), schema)
 
 
-def report(documents: DataFrame, kind: int = 8, block_ids: int = BLOCK_IDS) -> DataFrame:
+def report(documents: DataFrame, kind: int = 8, block_ids: int = BLOCK_IDS, order: str = "doc_id") -> DataFrame:
     ws = Workspace(documents.sparkSession, "tokens")
     folder = ws.folder("files")
     address = folder if re.match(r"[a-z0-9]+:", folder) else f"file://{os.path.abspath(folder)}"
-    manifest = write_token_files(documents, address, ws, kind=kind, block_ids=block_ids)
+    manifest = write_token_files(documents, address, ws, kind=kind, block_ids=block_ids, order=order)
     return read_token_files(manifest, address, documents.schema["doc_id"].dataType)

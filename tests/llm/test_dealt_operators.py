@@ -67,6 +67,42 @@ def test_mixing_budget_and_empty(spark):
     assert small.agg(F.sum(mixing.word_count(F.col("text")))).first()[0] <= 1000
 
 
+def test_mixing_places_are_a_permutation(spark):
+    mix = mixing.Mix(entropy=0.8, max_repeats=6.0, block_words=200)
+    docs = _docs(spark, _mix_rows())
+    known = mixing.placed(docs, mix).select("doc_id", "source", "text", "__skey", "__key", "__block", "__copies", "__passes").collect()
+    turns = [(k, t) for k in known for t in range(k["__copies"])]
+    keys = spark.createDataFrame([(k["__skey"], k["__block"], t, k["__key"]) for k, t in turns], "__skey long, __block long, turn long, __key long")
+    hashes = keys.select("*", mixing._order(mix, F.col("turn")).alias("place"), F.xxhash64("__key", "turn").alias("inner")).collect()
+    hashes = {(h["__skey"], h["__block"], h.turn, h["__key"]): (h.place, h.inner) for h in hashes}
+    wanted = []
+    for k, t in turns:
+        place, inner = hashes[k["__skey"], k["__block"], t, k["__key"]]
+        wanted.append(((t + place) / max(k["__passes"], 1.0), k["__skey"], k["__block"], inner, k["__key"], k.doc_id, t))
+    wanted.sort()
+    got = sorted(mixing.report(docs.repartition(5), mix).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(len(turns))) and len(turns) > len(_mix_rows())
+    assert [(r.doc_id, r.turn, r.slot) for r in got] == [(w[5], w[6], w[0]) for w in wanted]
+    # A pass of a source is over before its next one begins, and its blocks stay whole.
+    for s in {r.source for r in got}:
+        rows = [(r.turn, r.block) for r in got if r.source == s]
+        assert [t for t, _ in rows] == sorted(t for t, _ in rows)
+        assert 1 + sum(a != b for a, b in zip(rows, rows[1:])) == len(set(rows))
+    assert mixing.report(docs.where("false")).count() == 0
+
+
+def test_pipeline_writes_tokens_in_the_order_of_the_mixture(spark):
+    import corpus_pipeline
+
+    docs = _docs(spark, _mix_rows()).withColumn("slot", F.lit("kept"))
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = Workspace(spark, "test").save(stages["mix_sources"](spark, docs, ""), "mixed")
+    assert {r.slot for r in mixed.select("slot").distinct().collect()} == {"kept"}
+    written = stages["token_files"](spark, mixed, "").orderBy("start").collect()
+    wanted = sorted(mixing.report(docs).collect(), key=lambda r: r.position)
+    assert [r.doc_id for r in written] == [r.doc_id for r in wanted] != sorted(r.doc_id for r in wanted)
+
+
 def test_archives_against_brute_force(spark):
     long, other = "<p>" + "x" * 200 + "é</p>", "y" * 100
     rows = [(5, "http://a/1", long), (3, "http://b/ 2", long), (3, "http://b/3", long), (9, None, long), (7, "u", None), (8, "u", ""), (1, "u", "short"),
