@@ -2,9 +2,10 @@
 
 1. Candidates are runs of ``MIN_LENGTH`` or more key characters inside blank-separated words.
 2. Each gets features of its length and alphabet, of its character transitions,
-   of its dictionary coverage (share of its letters in pieces that also occur as
-   words of the corpus, counted over all documents), of the path or address it
-   stands in, and of the neighbouring words.
+   of its dictionary coverage (share of its letters in pieces that are also words
+   of at least ``FREQUENT_RATE`` of the distinct texts, and of ``FREQUENT``, counted
+   over all documents outside of candidates with digits or signs), of the path or
+   address it stands in, and of the neighbouring words.
 3. A random forest, grown in numpy from a bounded sample of labelled findings
    (``TRAIN_FINDINGS`` of each class), removes false positives. Its trees are
    written as nested conditions, so the scan stays in DataFrame expressions.
@@ -46,6 +47,9 @@ TRAIN_FINDINGS = 2000
 TREES = 15
 DEPTH = 5
 FREQUENT = 3
+FREQUENT_RATE = 0.001
+#: Candidates that are not letters only; each starts where a run of key characters does.
+KEYLIKE = r"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z]*+[0-9+/_=\-])" + CANDIDATE
 PIECE = 4
 SALTS = 32
 
@@ -76,12 +80,15 @@ def _pieces(text: str | Column) -> Column:
 
 
 def coverage(found: DataFrame, documents: DataFrame, ws: Workspace) -> DataFrame:
-    """candidate, covered: letters in pieces that are words of the corpus. Counts run over all documents."""
+    """candidate, covered: letters in pieces that are words of the corpus. Counts are of distinct texts, over all documents."""
     distinct = found.select("candidate").distinct()
     pieces = ws.save(distinct.select("candidate", F.explode(_pieces("candidate")).alias("piece")), "pieces")
     wanted = ws.save(pieces.select("piece").distinct(), "wanted")
-    words = documents.select(F.explode(_pieces("text")).alias("piece"))
-    counts = words.join(wanted, "piece", "left_semi").groupBy("piece").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    texts = documents.where("text is not null").withColumn("h", F.xxhash64("text"))
+    least = max(FREQUENT, FREQUENT_RATE * texts.agg(F.count_distinct("h")).first()[0])
+    words = texts.select("h", F.explode(F.array_distinct(_pieces(F.regexp_replace("text", KEYLIKE, " ")))).alias("piece"))
+    words = words.join(wanted, "piece", "left_semi").distinct()
+    counts = words.groupBy("piece").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     covered = pieces.join(ws.save(counts, "counts"), "piece").groupBy("candidate").agg(F.sum(F.length("piece")).alias("covered"))
     return ws.save(covered, "covered")
 

@@ -200,6 +200,23 @@ def test_labels_of_assigned_and_bare_keys(spark):
     assert [r for r in rows if cases[r.doc_id][1] != 0 and r.label == 0] == []
 
 
+def test_coverage_counts_distinct_texts_outside_of_keys(spark):
+    copied, shared, word = "beefcafe12345678abcd", "deadfeed00000000dead", "internationalization"
+    rows = [(i, f"{copied} copied with beefcafe here", "s") for i in range(50)]  # copies of one text
+    rows += [(100 + i, f"text {i} holds {shared} and {word}", "s") for i in range(5)]  # a key in many texts
+    rows += [(200 + i, f"filler number {i}", "s") for i in range(3000)] + [(9000, None, None)]
+
+    def covered(docs):
+        ws = Workspace(spark, "test")
+        return {r.candidate: r.covered for r in secrets.coverage(secrets.candidates(docs), docs, ws).collect()}
+
+    small, large = _docs(spark, rows[:55]), _docs(spark, rows)
+    assert covered(small) == covered(large.where("doc_id < 1500")) == {word: 20}
+    assert covered(large) == {word: 20}
+    more = _docs(spark, rows + [(10_000 + i, f"other {i}", "s") for i in range(3000)])
+    assert covered(more) == {}  # 5 of 6,006 texts are below the rate
+
+
 def test_forest_conditions_equal_trees(spark):
     rng = np.random.default_rng(0)
     names = list(secrets.features())
