@@ -15,8 +15,9 @@ Defined cases
   takes no part (it cannot be named in a result);
 * vectors of another length than the query's are no candidates;
 * equal scores: the smaller vec_id first; fewer than k candidates: all of them;
-* scores are 64-bit integers; a component beyond 2**24 (or, with more than 2**15
-  components, any whose products could leave 64 bits) raises an error;
+* scores are 64-bit integers; blocks whose products could leave 64 bits are scored
+  with unbounded ones, and a score among a block's k best that does leave them, or
+  a component of 2**62 or more, raises an error;
 * other columns are never read; an empty table gives an empty result.
 """
 
@@ -34,7 +35,7 @@ BLOCK = 8192
 QUERY_BLOCK = 2048
 CELLS = 16
 SCALE = 64
-LARGEST = 1 << 24
+LARGEST = 1 << 62
 
 
 def _usable(vector: Column) -> Column:
@@ -46,7 +47,7 @@ def quantised(embeddings: DataFrame) -> DataFrame:
     rows = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("x")))
     whole = F.transform("x", lambda x: F.floor(x * SCALE))
-    checked = F.when(F.exists("x", lambda x: F.abs(x) * SCALE > LARGEST), F.raise_error(F.lit("a component is too large for exact 64-bit scores"))).otherwise(whole)
+    checked = F.when(F.exists("x", lambda x: F.abs(x) * SCALE >= LARGEST), F.raise_error(F.lit("a component is too large for exact 64-bit scores"))).otherwise(whole)
     return rows.groupBy("vec_id").agg(F.min("x").alias("x")).select("vec_id", F.size("x").alias("dim"), checked.cast("array<bigint>").alias("v"))
 
 
@@ -55,12 +56,21 @@ def _cell_matrix(v: np.ndarray, low: np.ndarray, width: np.ndarray) -> np.ndarra
     return np.minimum((v - low) // width, CELLS - 1).astype(np.uint8)
 
 
-def nearest(queries: np.ndarray, cells: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, low: np.ndarray, width: np.ndarray, k: int):
-    """The k best (position, score) of each query, with the number of exact vectors read."""
+def _best_first(score: np.ndarray, ids: np.ndarray) -> np.ndarray | list[int]:
+    if score.dtype == object:
+        return sorted(range(len(score)), key=lambda i: (-score[i], ids[i]))
+    return np.lexsort((ids, -score))
+
+
+def nearest(queries: np.ndarray, cells: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, low: np.ndarray, width: np.ndarray, k: int, wide: bool = False):
+    """The k best (position, score) of each query; ``wide`` scores with unbounded integers."""
     half = (width - 1) / 2.0
     centre = low + cells * width + half
     middle = queries.astype(float) @ centre.T
     radius = np.abs(queries).astype(float) @ half
+    # The bounds are rounded: half of one for small components, and what their sums of products can lose for large ones.
+    dim = queries.shape[1]
+    slack = 0.5 + 2.0**-51 * (dim + 8) * dim * float(np.abs(queries).max(initial=0)) * float((np.abs(centre) + half).max(initial=0))
     read = 0
     for q in range(len(queries)):
         upper = middle[q] + radius[q]
@@ -70,20 +80,20 @@ def nearest(queries: np.ndarray, cells: np.ndarray, vectors: np.ndarray, ids: np
         if not want:
             yield q, np.empty(0, np.int64), np.empty(0, np.int64)
             continue
-        # No vector below the k-th largest lower bound can be a result; a half covers rounding of the bounds.
+        # No vector below the k-th largest lower bound can be a result.
         sure = np.partition(upper, len(upper) - want)[len(upper) - want] - 2 * radius[q]
-        order = np.flatnonzero(upper >= sure - 0.5)
+        order = np.flatnonzero(upper >= sure - 2 * slack)
         order = order[np.argsort(-upper[order], kind="stable")]
         order = order[ids[order] != own[q]]
         best_at, best = np.empty(0, np.int64), np.empty(0, np.int64)
         at, step = 0, max(64, 2 * want)
         while at < len(order):
-            if len(best) == want and upper[order[at]] < best[-1] - 0.5:
+            if len(best) == want and upper[order[at]] < float(best[-1]) - 2 * slack:
                 break
             part = order[at : at + step]
-            score = vectors[part] @ queries[q]
+            score = vectors[part].astype(object) @ queries[q].astype(object) if wide else vectors[part] @ queries[q]
             best_at, best = np.concatenate([best_at, part]), np.concatenate([best, score])
-            rank = np.lexsort((ids[best_at], -best))[:want]
+            rank = _best_first(best, ids[best_at])[:want]
             best_at, best = best_at[rank], best[rank]
             at += len(part)
         read += at
@@ -98,15 +108,16 @@ def _block_results(k: int):
         vids, qids = ids[side == 0], ids[side == 1]
         out = []
         if len(vectors) and len(queries):
-            if v.shape[1] * int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) >= 1 << 62:
-                raise ValueError("scores leave 64 bits")
+            wide = v.shape[1] * int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) >= 1 << 62
             low = vectors.min(axis=0)
             width = (vectors.max(axis=0) - low) // CELLS + 1
             cells = _cell_matrix(vectors, low, width)
             for s in range(0, len(queries), 256):
                 part = slice(s, s + 256)
-                for q, at, score in nearest(queries[part], cells, vectors, vids, qids[part], low, width, k):
-                    out.append((np.full(len(at), qids[s + q]), vids[at], score))
+                for q, at, score in nearest(queries[part], cells, vectors, vids, qids[part], low, width, k, wide):
+                    if any(not -(1 << 63) <= x < 1 << 63 for x in (score if wide else ())):
+                        raise ValueError("scores leave 64 bits")
+                    out.append((np.full(len(at), qids[s + q]), vids[at], score.astype(np.int64)))
         parts = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 3
         return pa.table({n: pa.array(p, pa.int64()) for n, p in zip(("query_id", "vec_id", "score"), parts)})
 

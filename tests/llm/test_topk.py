@@ -47,6 +47,23 @@ def test_too_large_component_raises(spark):
         topk.report(df).collect()
 
 
+@pytest.mark.parametrize("block", [7, 8192])
+def test_large_components_are_scored_exactly(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=8) * 10.0 ** (i % 7))]) for i in range(80)]
+    # Its product with itself is no result and leaves 64 bits, those with all others stay.
+    rows += [(80, [2.0**28, 3.0] + [0.5] * 6), (81, [rows[0][1][0]] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in topk.report(df).collect()) == sorted(brute(rows))
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    df = spark.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="leave 64 bits"):
+        topk.report(df).collect()
+
+
 def test_query_reads_few_exact_vectors():
     rng = np.random.default_rng(0)
     v = np.floor(64 * rng.normal(size=(4000, 64)) / 8).astype(np.int64)
