@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -277,12 +277,13 @@ def _merged(ws: Workspace, comp: DataFrame, links: DataFrame, name: str) -> Data
     return ws.save(new.select("nid", F.coalesce("root", "comp").alias("comp")), f"{name}-comp")
 
 
-def near_duplicates(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """One row per document: doc_id, row_key, n_shingles, component_id (smallest doc_id reachable)."""
+def near_duplicates(documents: DataFrame, plan: Plan = Plan(), row_key: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, row_key, set_key, n_shingles, comp (the component; null for an empty set) and
+    component_id (smallest doc_id reachable, which several components can share)."""
     spark = documents.sparkSession
     ws = Workspace(spark, "neardup")
     id_type = documents.schema["doc_id"].dataType
-    docs = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), F.col("text").cast("binary").alias("text"))
+    docs = documents.select("doc_id", (F.xxhash64("doc_id", "text") if row_key is None else row_key).alias("row_key"), F.col("text").cast("binary").alias("text"))
     schema = T.StructType([
         T.StructField("doc_id", id_type), T.StructField("row_key", T.LongType()), T.StructField("set_key", T.BinaryType()),
         T.StructField("n_shingles", T.LongType()), T.StructField("sig", T.ArrayType(T.IntegerType())),
@@ -328,10 +329,12 @@ def near_duplicates(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
     low = classes.select("nid", "low_doc").join(comp, "nid")
     group = low.groupBy("comp").agg(F.min("low_doc").alias("component_id"))
-    named = low.join(group, "comp").select("nid", "component_id")
-    named = classes.select("nid", "set_key", "low_doc").join(named, "nid", "left").select("set_key", F.coalesce("component_id", "low_doc").alias("component_id"))
+    named = low.join(group, "comp").select("nid", "comp", "component_id")
+    named = classes.select("nid", "set_key", "low_doc").join(named, "nid", "left").select(
+        "set_key", F.coalesce("comp", "nid").alias("comp"), F.coalesce("component_id", "low_doc").alias("component_id")
+    )
     return signed.select("doc_id", "row_key", "set_key", "n_shingles").join(named, "set_key", "left").select(
-        "doc_id", "row_key", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "row_key", "set_key", "n_shingles", "comp", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
@@ -341,8 +344,12 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def deduplicate(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """One row of each component, all columns kept: that whose doc_id names it (one of equal rows)."""
-    found = near_duplicates(documents, plan).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.select("row_key").distinct()
-    rows = documents.withColumn("__key", F.xxhash64("doc_id", "text")).join(keep.withColumnRenamed("row_key", "__key"), "__key", "left_semi")
-    return rows.dropDuplicates(["__key"]).drop("__key")
+    """All columns of one row of each component (smallest doc_id, null last, then smallest row), and of every row with an empty set."""
+    ws = Workspace(documents.sparkSession, "neardup-rows")
+    rows = ws.save(documents.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, plan, F.col("__row")).select("doc_id", "row_key", "set_key", "comp")
+    found = ws.save(found, "found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_key", "row_key"))
+    kept = found.where("set_key is not null").groupBy("comp").agg(first.alias("first")).select(F.col("first.row_key").alias("__row"))
+    kept = kept.union(found.where("set_key is null").select("row_key"))
+    return rows.join(ws.save(kept, "kept"), "__row", "left_semi").drop("__row")

@@ -24,3 +24,21 @@ def test_components_against_all_pairs(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.report(docs).collect()}
     assert got == {i: (len(sets[i]), label[i], label[i] == i) for i, _ in rows}
     assert neardup.report(docs.where("false")).count() == 0
+
+
+def test_deduplicate_keeps_blank_rows_and_one_of_each_component(spark):
+    long = "one two three four five six seven eight nine ten " * 6
+    other = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, None, "a"), (None, None, "b"), (1, "", "c"), (1, "", "d"), (1, " ", "e"),  # blank: all stay
+            (2, long + "x", "f"), (2, long + "y", "g"), (3, long, "h"), (None, long, "i"),  # near, two under the naming doc_id
+            (2, other, "j"), (4, other, "k"), (4, other, "l"),  # another component named by the same doc_id
+            (None, "alone without an id", "m"), (None, "alone without an id", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra string").repartition(3)
+    got = neardup.deduplicate(docs)
+    assert got.columns == docs.columns
+    kept = sorted(r.extra for r in got.collect())
+    assert [x for x in kept if x <= "e"] == list("abcde")
+    assert len([x for x in kept if x in "fghi"]) == 1 and set(kept) & set("fg")
+    assert [x for x in kept if x in "jkl"] == ["j"]
+    assert len([x for x in kept if x in "mn"]) == 1
+    assert neardup.deduplicate(docs.where("false")).count() == 0
