@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, tokenfiles, topk, toxicity
+from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, tokenfiles, topk, toxicity, whitening
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secrets")
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
