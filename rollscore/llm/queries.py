@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, tokenfiles, topk, toxicity, whitening
+from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, simhash, tokenfiles, topk, toxicity, whitening
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
