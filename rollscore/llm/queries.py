@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, simhash, tokenfiles, topk, toxicity, whitening
+from . import archives, decontaminate, language, mixing, neardup, repeats, secrets, simhash, tokenfiles, topk, toxicity, turntrie, whitening
 from .storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_simhash")
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_turn_trie", turntrie.ORACLE)
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.trie(table(spark, sf_dir, "conversations"))
