@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, keys: Sequence[str], min_partitions: int | None = None) -> DataFrame:
@@ -29,3 +30,12 @@ def spread(df: DataFrame, keys: Sequence[str], min_partitions: int | None = None
     if current >= target:
         return df
     return df.repartition(target, *keys)
+
+
+def join_small(rows: DataFrame, small: DataFrame, keys: Sequence[str], by: str, how: str = "inner", copies: int = 16) -> DataFrame:
+    """Join ``rows`` with a table of one narrow row per key. A key that holds a large share of ``rows`` is dealt by
+    the values of column ``by`` over ``copies`` groups, for which the small row is repeated; nothing is broadcast by
+    hint."""
+    part = F.pmod(F.xxhash64(by), F.lit(copies)).cast("int")
+    repeated = small.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return rows.withColumn("__copy", part).join(repeated, [*keys, "__copy"], how).drop("__copy")

@@ -7,22 +7,22 @@
 * ST2: per-(run, step) reward metrics kept in the state store (one small
   buffer per step) and published in complete mode, each batch overwriting
   the result table (idempotent on retry).
-* ST3: best-so-far per (run, category) with ``applyInPandasWithState``: the
-  state is one double per key; each batch scans only its own rows.
+* ST2 on event time: windows emitted in append mode; a replay that ends with a
+  closing row (``replay.with_closing_row``) emits every window, and late rows
+  are reported per window.
+
+ST3 (best-so-far) is in ``manifest.py``, the replay of tables as streams in
+``replay.py``.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState
 
 from ..operators.scoring import attach_tasks, score
 from ..session import ensure_checkpoint_dir
@@ -41,19 +41,6 @@ def replay_files(df: DataFrame, path: str, by: str = "step") -> None:
     df.withColumn(folder, F.col(by)).repartition(folder).write.mode("overwrite").partitionBy(folder).parquet(path)
 
 
-def replay_in_order(df: DataFrame, path: str, step: str = "step", steps_per_file: int = 2000) -> None:
-    """Test harness: write ``df`` as successive files of ``steps_per_file``
-    steps, oldest first, so a file stream sees them in arrival order (the
-    file source orders by modification time). One Spark write per file; the
-    number of files is the step range divided by ``steps_per_file``."""
-    lo, hi = df.agg(F.min(step), F.max(step)).first()
-    if lo is None:
-        return
-    for i, start in enumerate(range(int(lo), int(hi) + 1, steps_per_file)):
-        part = df.where((F.col(step) >= start) & (F.col(step) < start + steps_per_file))
-        part.coalesce(1).write.mode("overwrite").parquet(os.path.join(path, f"part-{i:06d}"))
-
-
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 64) -> DataFrame:
     """Stream a folder of Parquet files with a fixed schema."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
@@ -100,36 +87,16 @@ def step_metrics_by_event_time(
     )
 
 
-BEST_OUTPUT = "run_id long, category string, step long, score double"
-BEST_STATE = "best double"
-
-
-def _best_fn(init: float):
-    def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = state.get[0] if state.exists else init
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames).sort_values("step", kind="stable")
-        scores = pdf["score"].to_numpy(dtype="float64")
-        prev = np.maximum.accumulate(np.concatenate([[best], scores]))[:-1]
-        hit = scores > prev
-        state.update((float(max(best, scores.max())),))
-        out = pdf.loc[hit, ["run_id", "category", "step", "score"]]
-        if len(out):
-            yield out
+def late_report(arrived: DataFrame, windows: DataFrame, event_time: str = "ts", window: str = "1 minute",
+                keys=("run_id",), count: str = "num_rollouts") -> DataFrame:
+    """Rows that arrived in each (key, window) and how many of them came after the window had been emitted.
 
-    return update
-
-
-def best_stream(history: DataFrame, init: float = 0.0) -> DataFrame:
-    """ST3: rows that set a new best per (run, category), across batches.
-
-    Within a batch rows are taken in step order; batches must arrive in step
-    order per key (one file per eval step does this)."""
-    return history.groupBy("run_id", "category").applyInPandasWithState(
-        _best_fn(init), BEST_OUTPUT, BEST_STATE, "append", "NoTimeout"
-    )
+    ``arrived`` holds the delivered rows, ``windows`` the emitted ones with their ``window_start``. A window that
+    only late rows fell into has a report but no metrics. Both sides are aggregates by the same keys."""
+    start = F.window(F.col(event_time).cast("timestamp"), window)["start"]
+    counted = arrived.groupBy(*keys, start.alias("window_start")).agg(F.count(F.lit(1)).alias("n_arrived"))
+    joined = counted.join(windows, [*keys, "window_start"], "left")
+    return joined.withColumn("late_rows", F.col("n_arrived") - F.coalesce(F.col(count), F.lit(0)))
 
 
 def run_append(df: DataFrame, sink: str, checkpoint: str) -> None:

@@ -191,10 +191,11 @@ def test_read_sft_splits_and_tokenizer(spark):
 
 def test_event_time_stream_matches_batch_for_closed_windows(spark):
     from rollscore.streaming import scoring as ST
+    from rollscore.streaming.replay import land_batches
     work = ST.scratch_dir(spark, "test-event-time")
     rows = FX.rollouts(spark, SF001).withColumn("ts", F.timestamp_seconds(F.col("step") * 60).cast("timestamp_ntz"))
     src = os.path.join(work, "src")
-    ST.replay_in_order(rows, src, step="step", steps_per_file=4)
+    land_batches(rows, src, F.expr("step div 4"))
     stream = ST.file_stream(spark, src, rows.schema, max_files_per_trigger=1)
     scored = ST.score_stream(stream, FX.tasks(spark, SF001))
     sink = os.path.join(work, "out")
