@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions.decimals import fixed, shortest
+from ..functions.prompts import py_list
+from ..sources.sinks import text_metrics
 
 BUCKET_TOL = 1e-8
 BUCKET_RULES = ("exact", "remainder", "range")
@@ -132,32 +135,21 @@ def top_examples(
     return ranked.where((F.col("rank") <= n) & keep)
 
 
-def py_list_repr(nums: Column) -> Column:
-    """Python list rendering ``[79, 17, 60]``."""
-    return F.concat(F.lit("["), F.array_join(F.transform(nums, lambda x: x.cast("string")), ", "), F.lit("]"))
-
-
 def example_text(scored: DataFrame, target: str = "target", nums: str = "nums") -> DataFrame:
-    """report text of one example; reward printed with 3 decimals.
-
-    ``format_string('%.3f')`` rounds half-up (0.0625 -> 0.063) where Python
-    rounds the binary value (0.062); documented difference.
-    """
+    """report text of one example, numbers printed as Python prints them
+    (the result as ``repr``, the reward with 3 correctly rounded decimals)."""
     c = F.col
     prompt = c("prompt") if "prompt" in scored.columns else F.lit("")
     target_txt = F.when(c(target).isNull(), F.lit("?")).otherwise(c(target).cast("string"))
-    numbers = F.when(c(nums).isNull(), F.lit("None")).otherwise(py_list_repr(c(nums)))
-    equation = F.coalesce(c("equation"), F.lit("None"))
-    result = F.when(c("result").isNull(), F.lit("None")).otherwise(
-        F.when((F.floor(c("result")) == c("result")) & (F.abs(c("result")) < F.lit(1e16)),
-               F.concat(F.format_string("%.0f", c("result")), F.lit(".0"))).otherwise(c("result").cast("string"))
-    )
+    numbers = F.when(c(nums).isNull(), F.lit("None")).otherwise(py_list(nums))
+    # The labels of the report.
     text = F.concat(
         F.lit("Prompt: "), F.coalesce(prompt, F.lit("")), F.lit("\n"),
         F.lit("Response: "), F.coalesce(c("response"), F.lit("")), F.lit("\n"),
-        F.lit("Equation: "), equation, F.lit(" | Result: "), result,
+        F.lit("Equation: "), F.coalesce(c("equation"), F.lit("None")), F.lit(" | Result: "),
+        F.coalesce(shortest("result"), F.lit("None")),
         F.lit(" | Target: "), target_txt, F.lit(" | Numbers: "), numbers, F.lit("\n"),
-        F.lit("Reward: "), F.format_string("%.3f", F.coalesce(c("reward"), F.lit(0.0))), F.lit("\n"),
+        F.lit("Reward: "), fixed(F.coalesce(c("reward"), F.lit(0.0)), 3), F.lit("\n"),
     )
     return scored.withColumn("example_text", text)
 
@@ -171,7 +163,12 @@ def examples_report(top: DataFrame, keys: Sequence[str] = ("run_id", "step")) ->
     )
 
 
+def examples_long(top: DataFrame, keys: Sequence[str] = ("run_id", "step")) -> DataFrame:
+    """The reports as rows of the metrics table, tags ``eval/examples_correct``, ``_partial`` and ``_failed``."""
+    return text_metrics(examples_report(top, keys), F.concat(F.lit("eval/examples_"), F.col("bucket")), "text", keys)
+
+
 __all__ = [
     "bucket_flags", "eval_summary", "format_metrics", "zero_shot_accuracy", "top_examples",
-    "example_text", "examples_report", "py_list_repr",
+    "example_text", "examples_report", "examples_long",
 ]

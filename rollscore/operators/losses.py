@@ -1,18 +1,18 @@
 """Sequence and step losses.
 
 Per-token work stays in arrays on each row; steps are combined with partial
-aggregations. Only the ratio statistics explode positions, and that explode
-feeds a partial aggregation inside the same stage (no per-token shuffle).
+aggregations, the ratio statistics by merging the moments of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import losses as L
+from .groupstats import with_group_stats
 
 STEP_KEYS = ("run_id", "step")
 LOSS_TYPES = ("grpo", "dr_grpo")
@@ -79,6 +79,31 @@ def step_loss(
     return per_micro.groupBy(*keys).agg(loss.alias("step_loss"), n.alias("num_micro_batches"))
 
 
+def array_moments(values: Column) -> Column:
+    """(n, mean, m2, min, max) of the entries of an array that are not NULL; m2 = sum of squared deviations (Welford)."""
+    kept = F.filter(values, lambda x: x.isNotNull())
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(s: Column, x: Column) -> Column:
+        n = s["n"] + 1
+        mean = s["mean"] + (x - s["mean"]) / n
+        return F.struct(n.alias("n"), mean.alias("mean"), (s["m2"] + (x - s["mean"]) * (x - mean)).alias("m2"))
+
+    moments = F.aggregate(kept, start, add)
+    return F.struct(moments["n"].alias("n"), moments["mean"].alias("mean"), moments["m2"].alias("m2"),
+                    F.array_min(kept).alias("min"), F.array_max(kept).alias("max"))
+
+
+def merge_moments(rows: DataFrame, keys: Sequence[str], name: str) -> dict[str, Column]:
+    """Aggregates that merge the moments of column ``name`` per group by Chan's formula; ``rows`` carry the group's
+    mean as ``__mean_<name>`` (see ``with_group_stats``)."""
+    m, n = F.col(name), F.sum(F.col(f"{name}.n"))
+    apart = F.pow(m["mean"] - F.col(f"__mean_{name}"), F.lit(2.0))
+    total = F.sum(m["m2"] + m["n"] * apart)
+    mean = F.try_divide(F.sum(m["n"] * m["mean"]), n)
+    return {"n": n, "mean": mean, "std": F.when(n > 1, F.sqrt(total / (n - 1))), "min": F.min(m["min"]), "max": F.max(m["max"])}
+
+
 def ratio_stats(
     df: DataFrame,
     policy_lp: str = "policy_log_probs",
@@ -88,18 +113,27 @@ def ratio_stats(
     clamp_log_ratio: bool = False,
 ) -> DataFrame:
     """Ratio mean, sample std, min, max and log-ratio mean, max over
-    all positions (``mask`` restricts to masked positions)."""
+    all positions (``mask`` restricts to masked positions). Groups without
+    any position are left out.
+
+    Each row keeps the moments of its own positions; the group's mean comes
+    from one partial aggregation, the merged deviations from a second one."""
     clamp = L.LOG_RATIO_CLAMP if clamp_log_ratio else None
     lr = L.log_ratio(F.col(policy_lp), F.col(old_lp), clamp)
-    arr = F.arrays_zip(lr.alias("lr"), F.col(mask).alias("m")) if mask else F.arrays_zip(lr.alias("lr"))
-    pos = df.select(*keys, F.explode(arr).alias("p"))
     if mask:
-        pos = pos.where(F.col("p.m"))
-    ratio = F.exp(F.col("p.lr"))
-    return pos.groupBy(*keys).agg(
-        F.avg(ratio).alias("ratio_mean"), F.stddev_samp(ratio).alias("ratio_std"),
-        F.min(ratio).alias("ratio_min"), F.max(ratio).alias("ratio_max"),
-        F.avg("p.lr").alias("log_ratio_mean"), F.max("p.lr").alias("log_ratio_max"),
+        pairs = F.filter(F.arrays_zip(lr.alias("lr"), F.col(mask).alias("m")), lambda z: F.coalesce(z["m"], F.lit(False)))
+        lr = F.transform(pairs, lambda z: z["lr"])
+    rows = df.select(*keys, lr.alias("lr")).select(
+        *keys, array_moments(F.transform("lr", lambda x: F.exp(x))).alias("ratio"), array_moments(F.col("lr")).alias("log"))
+    rows = rows.where(F.col("ratio.n") > 0)
+    mean = {"__mean_ratio": F.sum(F.col("ratio.n") * F.col("ratio.mean")) / F.sum("ratio.n")}
+    rows = with_group_stats(rows, keys, mean)
+    ratio = merge_moments(rows, keys, "ratio")
+    log_mean = F.sum(F.col("log.n") * F.col("log.mean")) / F.sum("log.n")
+    return rows.groupBy(*keys).agg(
+        ratio["mean"].alias("ratio_mean"), ratio["std"].alias("ratio_std"),
+        ratio["min"].alias("ratio_min"), ratio["max"].alias("ratio_max"),
+        log_mean.alias("log_ratio_mean"), F.max("log.max").alias("log_ratio_max"),
     )
 
 

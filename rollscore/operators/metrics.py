@@ -15,11 +15,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.decimals import fixed
 from ..sources.sinks import metrics_long
 
 STEP_KEYS = ("run_id", "step")
 DEFAULT_CHUNK_STEPS = 1 << 20
 
+# The tags of the metrics table.
 TRAIN_TAGS = {
     "loss": "train/loss",
     "grad_norm": "train/grad_norm",
@@ -36,6 +38,12 @@ EVAL_TAGS = {
     "count_partial": "eval/count_partial",
     "count_failed": "eval/count_failed",
 }
+# Logged by some of the trainers only; used when the summary has the column.
+EVAL_EXTRA_TAGS = {
+    "format_accuracy": "eval/format_accuracy",
+    "number_accuracy": "eval/number_accuracy",
+    "best_accuracy": "eval/best_accuracy",
+}
 
 
 def train_step_metrics(
@@ -80,21 +88,50 @@ def train_metrics_long(step_metrics: DataFrame, keys: Sequence[str] = STEP_KEYS)
     return metrics_long(step_metrics, tags, keys).where(F.col("value").isNotNull())
 
 
+def grad_norm_per_step(norms: DataFrame, keys: Sequence[str] = STEP_KEYS, norm: str = "norm") -> DataFrame:
+    """M1: the global gradient norm of a step, the 2-norm over its parameters' norms (one row per step and parameter)."""
+    return norms.groupBy(*keys).agg(F.sqrt(F.sum(F.pow(F.col(norm).cast("double"), F.lit(2.0)))).alias("grad_norm"))
+
+
+def with_best_accuracy(summary: DataFrame, run: str = "run_id", step: str = "step") -> DataFrame:
+    """M2: ``best_accuracy`` of each run up to and with each eval step (0 before any), in the chunked scan of W4."""
+    one = summary.withColumn("__all", F.lit(0))
+    best = running_best(one, keys=(run, "__all"), step=step, score="accuracy", init=0.0)
+    return best.withColumnRenamed("best_score", "best_accuracy").drop("__all", "prev_best", "is_best")
+
+
 def eval_metrics_long(summary: DataFrame, keys: Sequence[str] = STEP_KEYS) -> DataFrame:
     """M2 -> S6 rows (written at every eval step, a superset of the reference)."""
-    return metrics_long(summary, EVAL_TAGS, keys)
+    extra = {c: t for c, t in EVAL_EXTRA_TAGS.items() if c in summary.columns}
+    return metrics_long(summary, EVAL_TAGS | extra, keys)
+
+
+def _line(*parts) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
 def train_summary_line(step_metrics: DataFrame) -> DataFrame:
-    """M3: the per-step console line (``%.4f`` formatting rounds half-up)."""
-    line = F.format_string(
-        "Step %d | Loss: %.4f | Grad norm: %.4f | Reward mean: %.4f | Reward std: %.4f | Avg output tokens: %.1f",
-        F.col("step"), F.col("loss"), F.coalesce(F.col("grad_norm"), F.lit(float("nan"))),
-        F.col("reward_mean"), F.col("reward_std"), F.col("avg_output_tokens"),
-    )
+    """M3: the per-step console line of training, rounded as Python rounds; a missing gradient norm prints ``nan``."""
+    c = F.col
+    norm = F.coalesce(c("grad_norm"), F.lit(float("nan")))
+    line = _line(
+        "Step ", c("step").cast("string"), " | Loss: ", fixed("loss", 4), " | Grad norm: ", fixed(norm, 4),
+        " | Reward mean: ", fixed("reward_mean", 4), " | Reward std: ", fixed("reward_std", 4),
+        " | Avg output tokens: ", fixed("avg_output_tokens", 1))
     return step_metrics.select("run_id", "step", line.alias("line"))
 
 
+def eval_summary_line(summary: DataFrame) -> DataFrame:
+    """M3: the console line of an evaluation."""
+    c = F.col
+    count = {n: c(f"count_{n}").cast("string") for n in ("correct", "partial", "failed")}
+    line = _line(
+        "Eval @ step ", c("step").cast("string"), ": accuracy=", fixed("accuracy", 1), "% mean_reward=", fixed("mean_reward", 4),
+        " avg_tokens=", fixed("avg_output_tokens", 1), " | correct:", count["correct"], " partial:", count["partial"],
+        " failed:", count["failed"])
+    return summary.select("run_id", "step", line.alias("line"))
+
+
 def metrics_wide(long: DataFrame, tags: Sequence[str], keys: Sequence[str] = STEP_KEYS) -> DataFrame:
     """M4: step x tag view. Tags are listed up front so the pivot needs no
     extra pass to discover them."""

@@ -6,9 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import sampling
+
 
 def filter_by_size(tasks: DataFrame, k: int = 3, nums: str = "nums", n_nums: str | None = "n_nums") -> DataFrame:
     """Keep tasks with exactly ``k`` numbers.
@@ -47,33 +49,10 @@ def sample_steps(
     tasks: DataFrame, n_steps: int, k: int, seed: int = 42, key: str = "task_id", first_step: int = 1
 ) -> DataFrame:
     """P9 for many steps at once: an independent sample of ``k`` tasks per
-    step, with ``prompt_ord`` = position in the sample.
-
-    ``row_number() <= k`` per step is planned as a WindowGroupLimit, so each
-    map task ships at most k candidates per step to the shuffle. Fewer than k
-    tasks raise, as ``random.sample`` does (one count)."""
-    check_population(tasks, k)
-    steps = F.sequence(F.lit(first_step).cast("bigint"), F.lit(first_step + n_steps - 1).cast("bigint"))
-    return _first_k(tasks.select("*", F.explode(steps).alias("step")), k, seed, key)
-
-
-def sample_found_steps(
-    tasks: DataFrame, steps: DataFrame, k: int, seed: int = 42, key: str = "task_id", within: Sequence[str] = ()
-) -> DataFrame:
-    """P9 for each distinct ``step`` of ``steps``, by the same keys as
-    ``sample_steps``. Each value of ``within`` is a population of its own, and
-    one with fewer than k tasks raises (one count for each)."""
-    for row in tasks.groupBy(*within).count().collect():
-        _check_size(row["count"], k)
-    return _first_k(tasks.crossJoin(steps.select("step").distinct()), k, seed, key, within)
-
-
-def _first_k(cand: DataFrame, k: int, seed: int, key: str, within: Sequence[str] = ()) -> DataFrame:
-    cand = cand.withColumn("__k", _sample_key(seed, F.col("step"), F.col(key)))
-    w = Window.partitionBy(*within, "step").orderBy("__k", key)
-    ranked = cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
-    return ranked.select(*[c for c in ranked.columns if c not in ("__k", "__rn")],
-                         (F.col("__rn") - 1).cast("bigint").alias("prompt_ord"))
+    step, with ``prompt_ord`` = position in the sample (see
+    :mod:`.sampling`). Fewer than k tasks raise, as ``random.sample`` does."""
+    steps = tasks.sparkSession.range(first_step, first_step + n_steps).withColumnRenamed("id", "step")
+    return sampling.sample_steps(tasks, steps, k, seed, key)
 
 
 def check_population(tasks: DataFrame, k: int) -> None:

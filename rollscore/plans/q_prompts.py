@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import prompts as PR
 from ..functions import text as X
 from ..functions._util import report_double
+from ..functions.decimals import fixed, shortest
 from ..functions.equation import evaluate_equation
 from ..operators import evals as E
+from ..operators import sampling as SP
 from ..operators import tasks as TS
 from ..operators.scoring import score, stage_answers
 from ..sources import readers as RD
@@ -137,32 +139,33 @@ register("dataset_card")(lambda spark, sf: SK.dataset_card(FX.sft_rows(spark, sf
 
 # --- P9-P12, P14: sampling, expansion, flattening, truncation, eval steps ---------
 
-register("sample_prompts", _tasks_sql(
-    ", c AS (SELECT task_id, CAST(unnest(range(1, 11)) AS BIGINT) AS step FROM task_parts WHERE split = 'train'), "
-    "k AS (SELECT *, md5(concat_ws(':', '42', CAST(step AS VARCHAR), CAST(task_id AS VARCHAR))) AS h FROM c), "
-    "r AS (SELECT step, task_id, row_number() OVER (PARTITION BY step ORDER BY h, task_id) - 1 AS prompt_ord FROM k) "
-    "SELECT step, task_id, CAST(prompt_ord AS BIGINT) AS prompt_ord FROM r WHERE prompt_ord < 16"))(
-    lambda spark, sf: TS.sample_steps(FX.tasks(spark, sf).where(F.col("split") == "train"), 10, 16, 42).select(
-        "step", "task_id", "prompt_ord")
-)
-
-# Every task and every step of the rollouts; each split is a population of its own.
-register("sample_prompts_all", _tasks_sql(
-    ", s AS (SELECT DISTINCT step FROM task_parts), c AS (SELECT t.split, t.task_id, s.step FROM task_parts t CROSS JOIN s), "
-    "k AS (SELECT *, md5(concat_ws(':', '42', CAST(step AS VARCHAR), CAST(task_id AS VARCHAR))) AS h FROM c), "
-    "r AS (SELECT split, step, task_id, row_number() OVER (PARTITION BY split, step ORDER BY h, task_id) - 1 AS prompt_ord FROM k) "
-    "SELECT split, step, task_id, CAST(prompt_ord AS BIGINT) AS prompt_ord FROM r WHERE prompt_ord < 16"))(
-    lambda spark, sf: TS.sample_found_steps(
+# Every task and every step of the rollouts; each split is a population of its own. The permutation of
+# operators/sampling.py, round by round: j counts rounds, four of them make one image, one beyond n goes on.
+register("sample_prompts", _tasks_sql("""
+, d AS (SELECT split, task_id, row_number() OVER (PARTITION BY split ORDER BY task_id) - 1 AS ordinal FROM task_parts),
+sized AS (SELECT split, count(*) AS n FROM d GROUP BY split),
+tried AS (SELECT split, n, unnest(range(greatest(1, CAST(floor(sqrt(n)) AS BIGINT) - 1000), CAST(floor(sqrt(n)) AS BIGINT) + 1001)) AS a
+          FROM sized),
+best AS (SELECT split, n, a, (n + a - 1) // a AS b,
+           row_number() OVER (PARTITION BY split ORDER BY a * ((n + a - 1) // a) - n, a) AS k FROM tried),
+s AS (SELECT DISTINCT step FROM task_parts),
+w AS (
+  SELECT split, n, a, b, step, i, 0 AS j, i % a AS l, i // a AS r
+  FROM (SELECT split, n, a, b, step, unnest(range(16)) AS i FROM best, s WHERE k = 1)
+  UNION ALL
+  SELECT split, n, a, b, step, i, j + 1,
+    CASE WHEN j % 2 = 0 THEN (l + CAST('0x' || substr(md5(concat_ws(':', '42', step, j % 4, r)), 1, 8) AS BIGINT)) % a ELSE l END,
+    CASE WHEN j % 2 = 1 THEN (r + CAST('0x' || substr(md5(concat_ws(':', '42', step, j % 4, l)), 1, 8) AS BIGINT)) % b ELSE r END
+  FROM w WHERE NOT (j > 0 AND j % 4 = 0 AND l + a * r < n))
+SELECT split, step, task_id, CAST(i AS BIGINT) AS prompt_ord
+FROM w JOIN d USING (split) WHERE j > 0 AND j % 4 = 0 AND l + a * r < n AND ordinal = l + a * r
+""").replace("WITH ", "WITH RECURSIVE ", 1))(
+    lambda spark, sf: SP.sample_steps(
         FX.tasks(spark, sf), FX.rollouts(spark, sf).select("step"), 16, 42, within=["split"]
     ).select("split", "step", "task_id", "prompt_ord")
 )
 
 register("group_expand", _tasks_sql(
-    "SELECT task_id, CAST(unnest(range(8)) AS BIGINT) AS slot FROM task_parts WHERE split = 'test'"))(
-    lambda spark, sf: TS.expand_groups(FX.tasks(spark, sf).where(F.col("split") == "test").select("task_id"), 8)
-)
-
-register("group_expand_all", _tasks_sql(
     "SELECT split, task_id, CAST(unnest(range(8)) AS BIGINT) AS slot FROM task_parts"))(
     lambda spark, sf: TS.expand_groups(FX.tasks(spark, sf).select("split", "task_id"), 8)
 )
@@ -236,4 +239,41 @@ def _example_text(spark: SparkSession, sf: str) -> DataFrame:
     return E.examples_report(top)
 
 
-register("example_text")(_example_text)
+def _example_sql(rows: int) -> str:
+    text = (f"'Prompt: ' || {_template_sql(PR.TEMPLATES['A'])} || chr(10) || 'Response: ' || response || chr(10) || 'Equation: ' "
+            "|| coalesce(x_equation, 'None') || ' | Result: ' || coalesce(CAST(x_result AS VARCHAR), 'None') || ' | Target: ' "
+            f"|| CAST(target AS VARCHAR) || ' | Numbers: ' || {_NUMS_SQL} || chr(10) || 'Reward: ' || printf('%.3f', r) || chr(10)")
+    return (_ANSWERS + ", b AS (SELECT *, CASE WHEN abs(r - 1.0) < 1e-8 THEN 'correct' WHEN abs(r - 0.1) < 1e-8 THEN 'partial' "
+            "WHEN abs(r) < 1e-8 THEN 'failed' END AS bucket FROM rw), "
+            f"k AS (SELECT run_id, step, bucket, {text} AS example, row_number() OVER (PARTITION BY run_id, step, bucket "
+            "ORDER BY task_id, slot) AS rank FROM b WHERE bucket IS NOT NULL), "
+            "x AS (SELECT run_id, step, bucket, string_agg(example, chr(10) || chr(10) ORDER BY rank) AS text "
+            f"FROM k WHERE rank <= {rows} GROUP BY run_id, step, bucket) ")
+
+
+register("example_text", _example_sql(2) + "SELECT * FROM x")(_example_text)
+
+
+def _example_rows(spark: SparkSession, sf: str) -> DataFrame:
+    scored = score(TS.eval_steps(FX.rollouts_with_tasks(spark, sf), 10), reward="hybrid").withColumn("prompt", PR.prompt("A"))
+    return E.examples_long(E.top_examples(scored, n=10, rule="exact")).select("run_id", "step", "tag", "value", "text")
+
+
+register("example_metrics", _example_sql(10) + "SELECT run_id, step, 'eval/examples_' || bucket AS tag, "
+         "CAST(NULL AS DOUBLE) AS value, text FROM x WHERE step % 10 = 0")(_example_rows)
+
+
+def _number_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Decimal text of every event's value, and of a thousandth and a power of it (ties and small numbers among them)."""
+    v = F.col("value").cast("double")
+    small, tie = v / F.lit(1e7), F.floor(v * 8).cast("double") / F.lit(16.0)
+    return FX.read_spread(spark, sf, "events", "event_id").select(
+        "event_id", fixed(v, 3).alias("f3"), shortest(v).alias("r"), fixed(tie, 3).alias("tie3"), shortest(tie).alias("tie"),
+        fixed(small, 4).alias("small4"), shortest(small).alias("small"), shortest(v * F.lit(1e14)).alias("large"))
+
+
+register("number_text",
+         "SELECT event_id, printf('%.3f', value) AS f3, CAST(value AS VARCHAR) AS r, printf('%.3f', floor(value * 8) / 16.0) AS tie3, "
+         "CAST(floor(value * 8) / CAST(16.0 AS DOUBLE) AS VARCHAR) AS tie, printf('%.4f', value / CAST(1e7 AS DOUBLE)) AS small4, "
+         "CAST(value / CAST(1e7 AS DOUBLE) AS VARCHAR) AS small, CAST(value * CAST(1e14 AS DOUBLE) AS VARCHAR) AS large FROM events")(
+    _number_text)

@@ -79,15 +79,6 @@ register("word_count",
 )
 
 register("text_answer_null_path",
-    "SELECT conv_id, turn, CAST(NULL AS VARCHAR) AS equation, "
-    "contains(text, '<answer>') AND contains(text, '</answer>') AS has_answer, "
-    "contains(text, '<think>') AND contains(text, '</think>') AS has_think FROM conversations WHERE role = 'assistant'")(
-    lambda spark, sf: FX.read_spread(spark, sf, "conversations", "conv_id").where(F.col("role") == "assistant").select(
-        "conv_id", "turn", X.extract_answer("text").alias("equation"),
-        X.has_answer_tags("text").alias("has_answer"), X.has_think_tags("text").alias("has_think"))
-)
-
-register("text_answer_null_path_all",
     "SELECT conv_id, turn, role, CAST(NULL AS VARCHAR) AS equation, "
     "contains(text, '<answer>') AND contains(text, '</answer>') AS has_answer, "
     "contains(text, '<think>') AND contains(text, '</think>') AS has_think FROM conversations")(
@@ -230,13 +221,6 @@ def _train_tasks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("rollout_task_join", with_ctes(ROLLOUT_PARTS,
-    "SELECT run_id, step, count(*) AS n_rows, CAST(sum(target) AS BIGINT) AS sum_target FROM rollout_parts "
-    "WHERE split = 'train' GROUP BY run_id, step"))(
-    lambda spark, sf: attach_tasks(FX.rollouts(spark, sf), _train_tasks(spark, sf))
-    .groupBy("run_id", "step").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("target").alias("sum_target"))
-)
-
-register("rollout_task_join_all", with_ctes(ROLLOUT_PARTS,
     "SELECT run_id, step, count(*) AS n_rows, CAST(sum(target) AS BIGINT) AS sum_target FROM rollout_parts GROUP BY run_id, step"))(
     lambda spark, sf: attach_tasks(FX.rollouts(spark, sf), FX.tasks(spark, sf))
     .groupBy("run_id", "step").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("target").alias("sum_target"))

@@ -157,14 +157,23 @@ def _seq(spark: SparkSession, sf: str, **kw) -> DataFrame:
     return LO.sequence_losses(_with_advantage(spark, sf, kw["loss_type"]), clip_range=0.2, **kw)
 
 
-register("ratio_stats", _loss_sql(
-    f"SELECT run_id, step, {rd('avg(ratio)')} AS ratio_mean, {rd('stddev_samp(ratio)')} AS ratio_std, "
-    f"{rd('min(ratio)')} AS ratio_min, {rd('max(ratio)')} AS ratio_max, {rd('avg(p - o)')} AS log_ratio_mean, "
-    f"{rd('max(p - o)')} AS log_ratio_max FROM tl GROUP BY run_id, step"))(
-    lambda spark, sf: LO.ratio_stats(FX.logprob_rollouts(spark, sf), clamp_log_ratio=True).select(
-        "run_id", "step", *[report_double(F.col(c)).alias(c) for c in
-                            ("ratio_mean", "ratio_std", "ratio_min", "ratio_max", "log_ratio_mean", "log_ratio_max")])
-)
+_RATIO_COLUMNS = ("ratio_mean", "ratio_std", "ratio_min", "ratio_max", "log_ratio_mean", "log_ratio_max")
+
+
+def _ratio_sql(where: str = "") -> str:
+    return _loss_sql(
+        f"SELECT run_id, step, {rd('avg(ratio)')} AS ratio_mean, {rd('stddev_samp(ratio)')} AS ratio_std, "
+        f"{rd('min(ratio)')} AS ratio_min, {rd('max(ratio)')} AS ratio_max, {rd('avg(p - o)')} AS log_ratio_mean, "
+        f"{rd('max(p - o)')} AS log_ratio_max FROM tl {where}GROUP BY run_id, step")
+
+
+def _ratio_query(mask: str | None):
+    return lambda spark, sf: LO.ratio_stats(FX.logprob_rollouts(spark, sf), mask=mask, clamp_log_ratio=True).select(
+        "run_id", "step", *[report_double(F.col(c)).alias(c) for c in _RATIO_COLUMNS])
+
+
+register("ratio_stats", _ratio_sql())(_ratio_query(None))
+register("ratio_stats_masked", _ratio_sql("WHERE m "))(_ratio_query("response_mask"))
 
 
 def _surrogate(spark: SparkSession, sf: str) -> DataFrame:

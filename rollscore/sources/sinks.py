@@ -1,16 +1,23 @@
 """Sinks: task JSONL, the long metrics table, text metrics, best-checkpoint
 manifest and the dataset card (S3, S6-S9).
 
-Writes are plain DataFrame writes: partitioned, no driver-side loops, safe
-to retry (overwrite of a partition or append keyed by run/step).
+Writes are plain DataFrame writes: partitioned, no driver-side loops. Metrics
+and manifests are written in batches named by (writer, batch): a batch is a
+folder of its own and writing it again replaces it whole, so a retry, complete
+or after a crash half-way, leaves the rows of one write.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import schemas
 
 
 def write_tasks_jsonl(tasks: DataFrame, path: str, split: str = "split", mode: str = "overwrite") -> None:
@@ -38,9 +45,28 @@ def text_metrics(df: DataFrame, tag: Column, text: str = "text", keys: Sequence[
     return df.select(*keys, tag.alias("tag"), F.lit(None).cast("double").alias("value"), F.col(text).alias("text"))
 
 
-def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:
-    """Append to the long metrics table, partitioned by run."""
-    metrics.write.mode(mode).partitionBy("run_id").parquet(path)
+def _write_batch(rows: DataFrame, schema: T.StructType, path: str, writer: str, batch: int) -> None:
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", writer):
+        raise ValueError(f"writer {writer!r}: letters, digits, _ and - only (it names a folder)")
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    folder = f"{path.rstrip('/')}/writer={writer}/batch={int(batch)}"
+    rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run_id").parquet(folder)
+
+
+def _read_batches(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """Declared types for the folder names as well, so that a run_id is never inferred."""
+    full = T.StructType(schema.fields + [T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
+    return spark.read.schema(full).parquet(path)
+
+
+def write_metrics(metrics: DataFrame, path: str, writer: str, batch: int) -> None:
+    """One batch of the long metrics table; the same (writer, batch) again replaces it."""
+    _write_batch(metrics, schemas.METRIC, path, writer, batch)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics table of all batches, with ``writer`` and ``batch``; a filter on them or on run_id prunes folders."""
+    return _read_batches(spark, schemas.METRIC, path)
 
 
 def checkpoint_manifest(best: DataFrame, base_dir: str = "./output/best_models") -> DataFrame:
@@ -50,8 +76,13 @@ def checkpoint_manifest(best: DataFrame, base_dir: str = "./output/best_models")
     return best.select("run_id", "category", "step", F.col("score").cast("double").alias("score"), path.alias("path"))
 
 
-def write_manifest(manifest: DataFrame, path: str, mode: str = "append") -> None:
-    manifest.write.mode(mode).partitionBy("run_id").parquet(path)
+def write_manifest(manifest: DataFrame, path: str, writer: str, batch: int) -> None:
+    """One batch of the manifest; the same (writer, batch) again replaces it."""
+    _write_batch(manifest, schemas.CHECKPOINT, path, writer, batch)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return _read_batches(spark, schemas.CHECKPOINT, path)
 
 
 # The dataset card text (front matter, headings, example block).

@@ -17,21 +17,12 @@ ST3 (best-so-far) is in ``manifest.py``, the replay of tables as streams in
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scoring import attach_tasks, score
-from ..session import ensure_checkpoint_dir
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+from ..session import scratch_dir  # noqa: F401  (kept here for callers)
 
 
 def replay_files(df: DataFrame, path: str, by: str = "step") -> None:

@@ -213,11 +213,6 @@ def test_event_time_stream_matches_batch_for_closed_windows(spark):
     assert got.count() < batch.count()  # windows after the final watermark are not emitted yet
 
 
-def test_sampling_plan_uses_group_limit(spark):
-    plan = catalog.QUERIES["sample_prompts"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
-
-
 def test_running_best_with_a_hot_run(spark):
     # One (run, category) holds most of the history; chunk windows stay bounded.
     hist = spark.range(0, 20000).select(
@@ -278,21 +273,3 @@ def test_whole_table_queries_leave_nothing_out(spark):
     assert QUERIES["group_expand_all"](spark, sf).count() == 8 * FX.tasks(spark, sf).count()
     joined = sum(r.n_rows for r in QUERIES["rollout_task_join_all"](spark, sf).collect())
     assert joined == FX.rollouts(spark, sf).count()
-
-
-def test_samples_cover_the_steps_of_the_data(spark):
-    import pytest
-
-    from rollscore.operators.tasks import sample_found_steps, sample_steps
-
-    rows = [(i, "test" if i % 4 == 0 else "train") for i in range(40)]
-    tasks = spark.createDataFrame(rows, "task_id long, split string")
-    steps = spark.createDataFrame([(s,) for s in (3, 11, 11, 250)], "step long")
-    got = sample_found_steps(tasks, steps, 5, within=["split"]).collect()
-    assert sorted({(r.split, r.step) for r in got}) == [(s, n) for s in ("test", "train") for n in (3, 11, 250)]
-    assert len({(r.split, r.step, r.task_id) for r in got}) == len(got) == 30
-    train = tasks.where("split = 'train'")
-    wanted = {(r.task_id, r.prompt_ord) for r in sample_steps(train, 1, 5, first_step=250).collect()}
-    assert {(r.task_id, r.prompt_ord) for r in got if (r.split, r.step) == ("train", 250)} == wanted
-    with pytest.raises(ValueError):
-        sample_found_steps(tasks, steps, 11, within=["split"])
