@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .groupstats import with_group_stats, with_window_stats
@@ -64,6 +64,14 @@ def group_advantages(
     return df.withColumn("advantage", adv)
 
 
+def observe_groups(advantages: DataFrame, group_size: int, size: str = "group_n") -> tuple[DataFrame, Observation]:
+    """W1's groups counted in the same pass: an observation with ``n_rows`` and ``n_ragged`` (rows of groups whose size is
+    not G), filled by the first action on the returned rows."""
+    seen = Observation()
+    return advantages.observe(seen, F.count(F.lit(1)).alias("n_rows"),
+                              F.count_if(F.col(size) != group_size).alias("n_ragged")), seen
+
+
 def ragged_groups(scored: DataFrame, group_size: int, group_keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     """Groups whose size is not G (the reference's reshape would fail)."""
     return scored.groupBy(*group_keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != group_size)

@@ -11,7 +11,7 @@ sort-merge join otherwise, with AQE splitting a hot ``task_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
@@ -22,12 +22,32 @@ from ..functions.rewards import AnswerColumns, reward_column
 STAGED = ["equation", "numbers_ok", "result", "distance", "has_think", "n_matched", "n_nums", "n_words"]
 
 
-def attach_tasks(rollouts: DataFrame, tasks: DataFrame, keys=("task_id",), how: str = "inner") -> DataFrame:
+def attach_tasks(rollouts: DataFrame, tasks: DataFrame, keys=("task_id",), how: str = "inner", also=()) -> DataFrame:
     """Pair each response with its ground truth by key, not by position."""
-    cols = list(keys) + [c for c in ("target", "nums") if c not in keys]
+    cols = list(keys) + [c for c in ("target", "nums") if c not in keys] + list(also)
     return rollouts.join(tasks.select(*cols), list(keys), how)
 
 
+def attach_tasks_observed(rollouts: DataFrame, tasks: DataFrame, keys=("task_id",)) -> tuple[DataFrame, Observation]:
+    """J1/J2 with its data quality counted in the same pass: the joined rows, and an observation with ``n_rollouts`` and
+    ``n_unmatched`` that is filled by the first action on them (see :func:`require`). The count sits below the filter
+    on matched rows, so no second scan is needed."""
+    found = attach_tasks(rollouts, tasks.withColumn("__task", F.lit(True)).select(*keys, *[
+        c for c in ("target", "nums") if c not in keys], "__task"), keys, "left", ("__task",))
+    seen = Observation()
+    counted = found.observe(seen, F.count(F.lit(1)).alias("n_rollouts"), F.count_if(F.col("__task").isNull()).alias("n_unmatched"))
+    return counted.where(F.col("__task")).drop("__task"), seen
+
+
+def require(observed: Observation, **limits: int) -> dict[str, int]:
+    """Raise when a counter of an observation exceeds its limit; returns all counters. Call it after the action."""
+    counts = {k: v or 0 for k, v in observed.get.items()}
+    over = {k: counts[k] for k, most in limits.items() if counts[k] > most}
+    if over:
+        raise ValueError(f"data quality: {over} (limits {limits}), counters {counts}")
+    return counts
+
+
 def unmatched_rollouts(rollouts: DataFrame, tasks: DataFrame, keys=("task_id",)) -> DataFrame:
     """Rows a positional zip would have dropped silently (reported, not hidden)."""
     return rollouts.join(tasks.select(*keys), list(keys), "left_anti")

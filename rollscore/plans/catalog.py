@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_metrics, q_prompts, q_scoring, q_streaming, q_tokens  # noqa: F401  (register queries)
+from . import q_metrics, q_prompts, q_scoring, q_sources, q_streaming, q_tokens  # noqa: F401  (register queries)
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 
 

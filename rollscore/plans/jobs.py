@@ -32,8 +32,11 @@ from ..operators import losses as LO
 from ..operators import metrics as M
 from ..operators import tasks as TS
 from ..operators import tokens as TO
-from ..operators.scoring import attach_tasks, score
+from ..operators.scoring import attach_tasks, attach_tasks_observed, require, score
 from ..sources import sinks as SK
+from ..sources import stores as ST
+
+ROW_KEYS = ["run_id", "step", "task_id", "slot"]
 
 
 def training_step_job(
@@ -52,42 +55,61 @@ def training_step_job(
     stabilized: bool = False,
     max_completion_length: int = 256,
     eval_every: int = 10,
+    buckets: int = 64,
+    grad_norm: DataFrame | None = None,
+    batch: int = 0,
 ) -> dict[str, str]:
     """Score, normalise and reduce a table of rollouts; returns table paths.
 
+    Rollouts without a task, and groups of another size than ``group_size``,
+    raise after the table that shows them has been written; they are counted
+    in that write. ``buckets`` is the layout of token arrays and advantages
+    (choose it by the size of the arrays). ``batch`` names the rows of the
+    metrics table that this run replaces.
+
     ``rollouts`` needs ``run_id, step, task_id, prompt_ord, slot, response,
     output_tokens`` plus ``policy_log_probs, old_log_probs, response_mask``.
     """
     paths = {name: os.path.join(out_dir, name) for name in
-             ("scored", "advantages", "step_metrics", "metrics", "eval_summary", "examples")}
+             ("scored", "advantages", "tokens", "step_metrics", "metrics", "eval_summary", "examples")}
     rollouts = rollouts.drop("target", "nums")  # ground truth comes from the task table
-    scored = score(attach_tasks(rollouts, tasks), reward=reward, scale=scale)
-    (scored.drop("policy_log_probs", "old_log_probs", "response_mask")
-     .write.mode("overwrite").partitionBy("run_id").parquet(paths["scored"]))
-    scored_t = spark.read.parquet(paths["scored"])
-
-    adv = A.group_advantages(
-        scored_t.select("run_id", "step", "task_id", "prompt_ord", "slot", "reward", "output_tokens"),
-        normalize_by_std=A.normalizes_by_std(loss_type), eps=advantage_eps, stabilized=stabilized,
-    )
-    adv.write.mode("overwrite").partitionBy("run_id").parquet(paths["advantages"])
-    adv_t = spark.read.parquet(paths["advantages"])
-
-    arrays = rollouts.select("run_id", "step", "task_id", "slot", "policy_log_probs", "old_log_probs", "response_mask")
-    seqs = LO.sequence_losses(
-        adv_t.join(arrays, ["run_id", "step", "task_id", "slot"]),
-        clip_range=clip_range, loss_type=loss_type, max_completion_length=max_completion_length,
-        gradient_accumulation_steps=gradient_accumulation_steps, clamp_log_ratio=stabilized,
-    ).withColumn("micro_batch", TS.micro_batch_id(
-        "prompt_ord", "slot", group_size, TS.micro_size(rollout_batch_size, gradient_accumulation_steps)))
-    step_metrics = M.train_step_metrics(seqs, rescale=True)
-    step_metrics.write.mode("overwrite").parquet(paths["step_metrics"])
-    M.train_metrics_long(spark.read.parquet(paths["step_metrics"])).write.mode("overwrite") \
-        .partitionBy("run_id").parquet(paths["metrics"])
+    arrays = ["policy_log_probs", "old_log_probs", "response_mask"]
+    joined, matched = attach_tasks_observed(rollouts, tasks)
+    scored = score(joined, reward=reward, scale=scale).drop(*arrays)
+    scored.write.mode("overwrite").partitionBy("run_id").parquet(paths["scored"])
+    require(matched, n_unmatched=0)
+    scored_t = spark.read.schema(scored.schema).parquet(paths["scored"])
+
+    with ST.bucket_names(spark, "tokens", "advantages") as (tokens_name, adv_name):
+        # Token arrays are laid out by the join key once; the narrow advantages follow them, not the other way round.
+        tokens = ST.write_bucketed(rollouts.select(*ROW_KEYS, *arrays), tokens_name, paths["tokens"], ROW_KEYS, buckets)
+        adv = A.group_advantages(
+            scored_t.select("run_id", "step", "task_id", "prompt_ord", "slot", "reward", "output_tokens"),
+            normalize_by_std=A.normalizes_by_std(loss_type), eps=advantage_eps, stabilized=stabilized,
+        )
+        adv, groups = A.observe_groups(adv, group_size)
+        adv_t = ST.write_bucketed(adv, adv_name, paths["advantages"], ROW_KEYS, buckets)
+        require(groups, n_ragged=0)
+
+        seqs = LO.sequence_losses(
+            adv_t.join(tokens, ROW_KEYS),
+            clip_range=clip_range, loss_type=loss_type, max_completion_length=max_completion_length,
+            gradient_accumulation_steps=gradient_accumulation_steps, clamp_log_ratio=stabilized,
+        ).withColumn("micro_batch", TS.micro_batch_id(
+            "prompt_ord", "slot", group_size, TS.micro_size(rollout_batch_size, gradient_accumulation_steps)))
+        step_metrics = M.train_step_metrics(seqs, rescale=True, grad_norm=grad_norm)
+        step_metrics.write.mode("overwrite").parquet(paths["step_metrics"])
+    stored = spark.read.schema(step_metrics.schema).parquet(paths["step_metrics"])
+    SK.write_metrics(M.train_metrics_long(stored), paths["metrics"], "train", batch)
 
     evals = TS.eval_steps(scored_t, eval_every)
-    E.eval_summary(evals, ("run_id", "step"), "exact").write.mode("overwrite").parquet(paths["eval_summary"])
-    E.examples_report(E.top_examples(evals, n=10)).write.mode("overwrite").parquet(paths["examples"])
+    summary = E.eval_summary(evals, ("run_id", "step"), "exact")
+    summary.write.mode("overwrite").parquet(paths["eval_summary"])
+    summary_t = spark.read.schema(summary.schema).parquet(paths["eval_summary"])
+    SK.write_metrics(M.eval_metrics_long(M.with_best_accuracy(summary_t)), paths["metrics"], "eval", batch)
+    top = E.top_examples(evals, n=10)
+    E.examples_report(top).write.mode("overwrite").parquet(paths["examples"])
+    SK.write_metrics(E.examples_long(top), paths["metrics"], "examples", batch)
     return paths
 
 

@@ -11,11 +11,11 @@ from ..functions import prompts as PR
 from ..functions import text as X
 from ..functions._util import report_double
 from ..functions.decimals import fixed, shortest
-from ..functions.equation import evaluate_equation
 from ..operators import evals as E
 from ..operators import sampling as SP
 from ..operators import tasks as TS
 from ..operators.scoring import score, stage_answers
+from ..operators.solutions import check_solutions
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from . import fixtures as FX
@@ -117,17 +117,27 @@ register("sft_text_b", _sft_sql(
 
 
 def _solution_check(spark: SparkSession, sf: str) -> DataFrame:
-    rows = FX.sft_rows(spark, sf).withColumn("checked", evaluate_equation(F.col("solution")))
-    exact = F.coalesce(F.abs(F.col("checked") - F.col("target")) < F.lit(1e-6), F.lit(False))
-    return rows.select(
-        "task_id", "slot", report_double(F.col("checked")).alias("result"), exact.alias("is_exact"),
-        ((F.col("checked") != F.col("result")) | (exact != F.col("is_exact"))).alias("mismatch"),
-    )
+    return check_solutions(FX.sft_rows(spark, sf)).select(
+        "task_id", "slot", report_double(F.col("checked")).alias("result"), F.col("checked_exact").alias("is_exact"), "mismatch")
 
 
 register("solution_check", _sft_sql(
     f"SELECT task_id, slot, {rd('result')} AS result, is_exact, false AS mismatch FROM sft"))(_solution_check)
 
+
+def _solution_mismatches(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose stored result, flag or solution was changed: all of them are found, and no other one."""
+    sft, t = FX.sft_rows(spark, sf), F.col("task_id")
+    planted = sft.withColumn("result", F.when(t % 11 == 1, F.col("result") + 1.0).when(t % 11 == 2, F.lit(None)).otherwise(F.col("result")))
+    planted = planted.withColumn("is_exact", F.when(t % 11 == 3, ~F.col("is_exact")).otherwise(F.col("is_exact")))
+    planted = planted.withColumn("solution", F.when(t % 11 == 4, F.concat("solution", F.lit(" +"))).otherwise(F.col("solution")))
+    return check_solutions(planted).where("mismatch").select("task_id", "slot", report_double(F.col("checked")).alias("checked"), "checked_exact")
+
+
+register("solution_mismatches", _sft_sql(
+    f"SELECT task_id, slot, CASE WHEN task_id % 11 = 4 THEN NULL ELSE {rd('result')} END AS checked, "
+    "task_id % 11 <> 4 AND target = result AS checked_exact FROM sft WHERE task_id % 11 IN (1, 2, 3, 4)"))(_solution_mismatches)
+
 register("sft_splits", _sft_sql("SELECT split, count(*) AS n FROM sft GROUP BY split"))(
     lambda spark, sf: RD.split_dataset(
         train=FX.sft_rows(spark, sf).where(F.col("split") == "train").drop("split"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .quarantine import read_parquet_declared
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
@@ -24,11 +25,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, mode: str =
 
 
 def read_tasks(spark: SparkSession, path: str, split: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Task table (parquet with a ``split`` column, or JSONL of
+    """Task table (parquet of the declared task schema, or JSONL of
     ``{target, nums}``); ``split`` filters (partition pruning when the data is
     partitioned by it)."""
     if fmt == "parquet":
-        df = spark.read.parquet(path)
+        df = read_parquet_declared(spark, path, schemas.TASK)
     elif fmt == "json":
         df = read_jsonl(spark, path, schemas.TASK_JSON)
     else:
