@@ -26,6 +26,7 @@ Defined cases
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -48,6 +49,13 @@ MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
 END_ID = 2
 CACHE_ENTRIES = 200_000
+#: Parts of a tokenizer file for which words may be encoded one at a time: blanks only separate, letter runs, digits and
+#: sign runs are encoded by themselves, and case and spacing do not reach the vocabulary. Other files encode whole texts.
+BY_WORDS = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "pre_tokenizer": ["Split", "ByteLevel"],
+    "split": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
 #: Texts are split here before encoding; the tokenizer never joins across these.
 BLANKS = " \n\t\r"
 
@@ -76,6 +84,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.by_words = _encodes_by_words(json.loads(self.whole.to_str()))
         self.model = self.whole.model
         self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         # The model spells bytes as printable characters; the fixed rule of byte-level vocabularies.
@@ -94,20 +103,41 @@ class Encoder:
         return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if not self.by_words:
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         for blank in BLANKS[1:]:
             text = text.replace(blank, " ")
         return b"".join(map(self.chunks.__getitem__, filter(None, text.split(" "))))
 
 
+def _encodes_by_words(parts: dict) -> bool:
+    """Whether a tokenizer file has the parts of ``BY_WORDS``."""
+    normal = (parts.get("normalizer") or {}).get("normalizers") or []
+    cut = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    if [n["type"] for n in normal] != BY_WORDS["normalizer"] or [c["type"] for c in cut] != BY_WORDS["pre_tokenizer"]:
+        return False
+    blanks = normal[1]["pattern"].get("Regex") == r"\s+" and normal[1]["content"] == " "
+    split = cut[0]["pattern"].get("Regex") == BY_WORDS["split"] and cut[0]["behavior"] == "Removed" and cut[0]["invert"]
+    plain = not cut[1]["add_prefix_space"] and not cut[1]["use_regex"] and not any(
+        t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in parts["added_tokens"])
+    return blanks and split and plain and parts["model"]["type"] == "BPE" and not parts["model"]["dropout"]
+
+
 class _Memo(dict):
+    """Remembers what was used lately: a full generation of entries becomes the old one, and an old entry that is used
+    again comes back, so that frequent words survive any number of rare ones."""
+
     def __init__(self, fill):
         super().__init__()
-        self.fill = fill
+        self.fill, self.old = fill, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.fill(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.fill(key)
         if len(key) <= 64:
             if len(self) >= CACHE_ENTRIES:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
