@@ -36,23 +36,44 @@ BUCKETS = 1 << 16
 WIDTH = 16
 GRAMS = (2, 3, 4)
 TRAIN_DOCS = 1200
-TRAIN_TEXT_BYTES = 1 << 16
+TRAIN_BYTES = 8 << 20
+RANKED_AT_ONCE = 1000
 SNIPPET = 40
 BATCH = 64
 STEPS = 1500
 ACCEPT = 0.99
 CACHE_WORDS = 300_000
+CACHE_GRAMS = 1 << 19
 UNKNOWN = "und"
 
 
+class _Grams(dict):
+    """Buckets of n-grams, hashed once each while remembered."""
+
+    def __missing__(self, gram: str) -> int:
+        if len(self) >= CACHE_GRAMS:
+            self.clear()
+        self[gram] = bucket = _bucket(gram)
+        return bucket
+
+
+def _bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
+_grams = _Grams()
+
+
 def subwords(token: str) -> list[int]:
     """Buckets of the n-grams of a word between boundary marks, and of the word; none for a token without letters."""
     word = token.lower().strip(TRIM)
-    if not any(map(str.isalpha, word)):
+    if not (word.isalpha() or any(map(str.isalpha, word))):
         return []
     word = f"<{word}>"
-    grams = [word[i : i + n] for n in GRAMS for i in range(len(word) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in (*grams, f"={word}")]
+    bucket = _grams.__getitem__
+    out = [bucket(word[i : i + n]) for n in GRAMS for i in range(len(word) - n + 1)]
+    out.append(_bucket(f"={word}"))
+    return out
 
 
 @dataclass
@@ -82,20 +103,27 @@ class Words:
         try:
             ids = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
         except KeyError:
-            for token in tokens:
-                if token not in index:
-                    self._add(token)
+            self._add([t for t in dict.fromkeys(tokens) if t not in index])
             ids = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
-        return self.rows[ids].sum(axis=0, dtype=np.float64)
-
-    def _add(self, token: str) -> None:
-        n = len(self.index)
-        if n == len(self.rows):
+        return self.rows.take(ids, axis=0).sum(axis=0, dtype=np.float64)
+
+    def _add(self, tokens: list[str]) -> None:
+        """The rows of new words, all in one pass over their buckets."""
+        n, grams, sizes = len(self.index), [], []
+        for token in tokens:
+            before = len(grams)
+            grams += subwords(token)
+            sizes.append(len(grams) - before)
+        while n + len(tokens) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        grams = subwords(token)
-        self.rows[n, :-1] = self.model.table[grams].sum(axis=0)
-        self.rows[n, -1] = len(grams)
-        self.index[token] = n
+        sizes = np.array(sizes)
+        self.rows[n : n + len(tokens)] = 0
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            at = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
+            self.rows[n + filled, :-1] = np.add.reduceat(self.model.table.take(grams, axis=0), at)
+        self.rows[n : n + len(tokens), -1] = sizes
+        self.index.update(zip(tokens, range(n, n + len(tokens))))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -203,15 +231,27 @@ def _predicted(model: Model):
     return run
 
 
+def _chosen(rows: DataFrame, per_language: int) -> DataFrame:
+    """At most ``per_language`` rows of each language in the order of a hash, and of those the first ones that hold
+    ``TRAIN_BYTES`` together (a text is never left out for its length alone). Ranked in 64 parts of a language first,
+    each of which keeps its first ones before the shuffle, so that no task sorts a language."""
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "h"), F.lit(64)))
+    first = min(per_language, RANKED_AT_ONCE)  # up to this the group limit acts before the shuffle
+    for at, share in ((["lang", "part"], first), (["lang"], per_language)):
+        place = Window.partitionBy(*at).orderBy(*order)
+        rows = rows.withColumn("r", F.row_number().over(place)).where(F.col("r") <= share)
+    before = Window.partitionBy("lang").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.coalesce(F.sum("size").over(before), F.lit(0))
+    return rows.withColumn("held", held).where(F.col("held") < TRAIN_BYTES).select("doc_id", "lang", "h").distinct()
+
+
 def fit(documents: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
     """Learns from documents with a language outside the held-out fifth, at most ``per_language`` of each."""
-    known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")).where(
-        F.octet_length("text") <= TRAIN_TEXT_BYTES
-    )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = known.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language)
-    chosen = rows.select("doc_id", "lang").distinct()  # bounded by languages x per_language
-    sample = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).distinct().collect()
+    known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
+    keys = ["doc_id", "lang", F.xxhash64("text").alias("h")]
+    sample = known.select(*keys, "text").join(F.broadcast(_chosen(known.select(*keys, F.octet_length("text").alias("size")), per_language)),
+                                              ["doc_id", "lang", "h"]).distinct().collect()
     sample.sort(key=lambda r: (r.doc_id, r.lang, r.text))
     return train([(r.text, r.lang, zlib.crc32(str(r.doc_id).encode()) % 5 == 1) for r in sample])
 
