@@ -83,11 +83,10 @@ def coverage(found: DataFrame, documents: DataFrame, ws: Workspace) -> DataFrame
     """candidate, covered: letters in pieces that are words of the corpus. Counts are of distinct texts, over all documents."""
     distinct = found.select("candidate").distinct()
     pieces = ws.save(distinct.select("candidate", F.explode(_pieces("candidate")).alias("piece")), "pieces")
-    wanted = ws.save(pieces.select("piece").distinct(), "wanted")
-    texts = documents.where("text is not null").withColumn("h", F.xxhash64("text"))
+    texts = documents.where("text is not null").select(F.xxhash64("text").alias("h"), "text")
+    once = texts.groupBy("h").agg(F.first("text").alias("text"))  # copies meet in the partial aggregation
     least = max(FREQUENT, FREQUENT_RATE * texts.agg(F.count_distinct("h")).first()[0])
-    words = texts.select("h", F.explode(F.array_distinct(_pieces(F.regexp_replace("text", KEYLIKE, " ")))).alias("piece"))
-    words = words.join(wanted, "piece", "left_semi").distinct()
+    words = once.select(F.explode(F.array_distinct(_pieces(F.regexp_replace("text", KEYLIKE, " ")))).alias("piece"))
     counts = words.groupBy("piece").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     covered = pieces.join(ws.save(counts, "counts"), "piece").groupBy("candidate").agg(F.sum(F.length("piece")).alias("covered"))
     return ws.save(covered, "covered")
