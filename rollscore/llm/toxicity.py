@@ -1,7 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, aggregated to document scores.
 
 Training, on a bounded sample of labelled documents (``TRAIN_DOCS`` of each
-class, texts up to ``TRAIN_TEXT_BYTES``; scoring has no such bounds):
+class in the order of a hash, and of those the first ones that hold
+``TRAIN_BYTES`` together; scoring has no such bounds):
 
 1. tokens get labels from document labels: word features (word, prefixes,
    suffixes) are chosen greedily while each explains further toxic documents and
@@ -29,17 +30,20 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 BUCKETS = 1 << 18
 TRAIN_DOCS = 2000
-TRAIN_TEXT_BYTES = 1 << 16
+TRAIN_BYTES = 8 << 20
 EPOCHS = 40
 CACHE_WORDS = 300_000
 TRIM = ".,;:!?\"'()[]{}<>|*_-…«»“”"
@@ -88,19 +92,22 @@ class Lexicon:
         try:
             return np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
         except KeyError:
-            for token in tokens:
-                if token not in index:
-                    self._add(token)
+            self._add([t for t in dict.fromkeys(tokens) if t not in index])
             return np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
 
-    def _add(self, token: str) -> None:
-        n, c = len(self.index), self.chain
-        if n == len(self.table):
+    def _add(self, tokens: list[str]) -> None:
+        """The scores of new words, all in one pass over their features."""
+        n, c, buckets, at = len(self.index), self.chain, [], []
+        for token in tokens:
+            at.append(len(buckets))
+            buckets += map(_bucket, word_features(token))
+        while n + len(tokens) > len(self.table):
             self.table = np.concatenate([self.table, np.empty_like(self.table)])
-        names = word_features(token)
-        buckets = [_bucket(x) for x in names]
-        self.table[n] = c.own[buckets].sum(), c.before[buckets[0]], c.after[buckets[0]]
-        self.index[token] = n
+        buckets = np.array(buckets)
+        new = self.table[n : n + len(tokens)]
+        new[:, 0] = np.add.reduceat(c.own[buckets], at)
+        new[:, 1], new[:, 2] = c.before[buckets[at]], c.after[buckets[at]]
+        self.index.update(zip(tokens, range(n, n + len(tokens))))
 
     def emissions(self, tokens: list[str]) -> np.ndarray:
         ids = self.ids(tokens)
@@ -119,7 +126,8 @@ def forward_backward(emissions: np.ndarray, starts: np.ndarray, moves: np.ndarra
     # Transfer matrices by entry, as (steps, columns): column c holds tokens c * steps ... (c + 1) * steps - 1.
     weight = np.ones((2, width * steps))
     weight[1, :n] = np.exp(np.clip(emissions, -30, 30))
-    first = np.zeros(width * steps, bool)
+    # The filling after the last token is documents of their own, so that no message comes back from it.
+    first = np.ones(width * steps, bool)
     first[:n] = starts
     entry = {}
     for i in (0, 1):
@@ -201,35 +209,63 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _offending_features(docs: list[np.ndarray], names: list[list[str]], toxic: np.ndarray) -> set[str]:
+class Features:
+    """Features of the sample's words as numbers, without their spellings: 64-bit hashes, numbered from 0."""
+
+    def __init__(self, words: list[str]):
+        self.words, hashes, buckets, sizes = words, array("Q"), array("i"), array("i")
+        for word in words:
+            names = word_features(word)
+            hashes.extend(xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass")) for n in names)
+            buckets.extend(map(_bucket, names))
+            sizes.append(len(names))
+        self.at = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int32))]) if words else np.zeros(1, np.int64)
+        self.bucket = np.array(buckets, np.int32)
+        _, self.first, number = np.unique(np.array(hashes, np.uint64), return_index=True, return_inverse=True)
+        self.number = number.astype(np.int32)
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Distinct features of distinct words."""
+        return np.unique(np.concatenate([self.number[self.at[w] : self.at[w + 1]] for w in np.unique(words)]))
+
+    def name(self, feature: int) -> str:
+        place = self.first[feature]
+        word = int(np.searchsorted(self.at, place, side="right")) - 1
+        return word_features(self.words[word])[place - self.at[word]]
+
+    def words_with(self, chosen: set[int]) -> np.ndarray:
+        """For each word whether it has one of the features."""
+        hit = np.isin(self.number, np.fromiter(chosen, np.int32, len(chosen)))
+        return np.logical_or.reduceat(hit, self.at[:-1]) if len(self.words) else np.empty(0, bool)
+
+
+def _offending_features(docs: list[np.ndarray], features: Features, toxic: np.ndarray) -> set[int]:
     """Greedy cover of the toxic documents by features (almost) absent from clean ones; ``docs`` hold word numbers."""
-    number: dict[str, int] = {}
-    of_word = [np.array([number.setdefault(n, len(number)) for n in f], np.int32) for f in names]
-    everywhere, offending = np.zeros(len(number), np.int32), np.zeros(len(number), np.int32)
-    held = lambda d: np.unique(np.concatenate([of_word[w] for w in np.unique(docs[d])]))
+    count = len(features.first)
+    everywhere, offending = np.zeros(count, np.int32), np.zeros(count, np.int32)
     filled = [d for d in range(len(docs)) if len(docs[d])]
     for d in filled:
-        f = held(d)
+        f = features.of(docs[d])
         everywhere[f] += 1
         if toxic[d]:
             offending[f] += 1
     need = max(3, int(toxic.sum()) // 400)
     kept = (everywhere >= need) & (offending >= 0.97 * everywhere)
-    spelled = list(number)
-    pure: dict[str, set[int]] = {spelled[f]: set() for f in np.flatnonzero(kept)}
+    names = {f: features.name(f) for f in np.flatnonzero(kept).tolist()}
+    pure: dict[int, set[int]] = {f: set() for f in names}
     for d in filled:
         if toxic[d]:
-            for f in held(d):
+            for f in features.of(docs[d]).tolist():
                 if kept[f]:
-                    pure[spelled[f]].add(d)
+                    pure[f].add(d)
     left, chosen = set(np.flatnonzero(toxic).tolist()), set()
     while pure:
         # Most newly explained documents; of equals the longest feature, then the first by name.
-        name = max(pure, key=lambda k: (len(pure[k]), len(k), k))
-        gained = pure.pop(name)
+        best = max(pure, key=lambda f: (len(pure[f]), len(names[f]), names[f]))
+        gained = pure.pop(best)
         if len(gained) < need:
             break
-        chosen.add(name)
+        chosen.add(best)
         left -= gained
         pure = {k: v for k, old in pure.items() if len(v := old & left) >= need}
     return chosen
@@ -260,13 +296,12 @@ def train(texts: list[str], labels: list[int], rate: float) -> Chain:
         return flat
     words: dict[str, int] = {}
     docs = [np.array([words.setdefault(t, len(words)) for t in text.split()], np.int32) for text in texts]
-    names = [word_features(t) for t in words]
-    chosen = _offending_features(docs, names, toxic)
+    features = Features(list(words))
     lengths = np.array([len(d) for d in docs])
-    bad = np.array([not chosen.isdisjoint(f) for f in names], bool)
-    owner = np.repeat(np.arange(len(names)), [len(f) for f in names])
-    feature = np.array([_bucket(x) for f in names for x in f])
-    head = np.array([_bucket(f[0]) for f in names])
+    bad = features.words_with(_offending_features(docs, features, toxic))
+    size = len(words)
+    feature, owner = features.bucket, np.repeat(np.arange(size, dtype=np.int32), np.diff(features.at))
+    head = feature[features.at[:-1]]
     portions = []
     for a, b in _portions(docs):
         ids = np.concatenate(docs[a:b])
@@ -280,8 +315,8 @@ def train(texts: list[str], labels: list[int], rate: float) -> Chain:
     squares = [np.full(x.shape, 1e-8) for x in (own, before, after, bias, moves, start)]
     total = max(1.0, ones)
     for _ in range(EPOCHS):
-        word = np.bincount(owner, own[feature], len(names))
-        per_word = np.zeros(len(names))
+        word = np.bincount(owner, own[feature], size)
+        per_word = np.zeros(size)
         to_before, to_after = -1e-3 * before, -1e-3 * after
         to_bias, to_moves, to_start = np.zeros(1), -1e-3 * moves, -1e-3 * start
         for ids, starts, y in portions:
@@ -292,7 +327,7 @@ def train(texts: list[str], labels: list[int], rate: float) -> Chain:
             alpha, beta = forward_backward(e, starts, moves, start)
             p = alpha[:, 1] * beta[:, 1] / (alpha * beta).sum(axis=1)
             r = (y - p) / total
-            per_word += np.bincount(ids, r, len(names))
+            per_word += np.bincount(ids, r, size)
             to_before += np.bincount(heads[:-1], np.where(starts[1:], 0, r[1:]), BUCKETS)
             to_after += np.bincount(heads[1:], np.where(last[:-1], 0, r[:-1]), BUCKETS)
             to_bias += r.sum()
@@ -380,16 +415,25 @@ def _scored(chain: Chain, keep: list[str]):
     return run
 
 
+def _first(rows: DataFrame, label: int, count: int) -> DataFrame:
+    """The first ``count`` rows of a class in the order of a hash, and of those the first that hold ``TRAIN_BYTES``."""
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    taken = rows.where(F.col("toxic") == label).orderBy(*order).limit(count)
+    before = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # of ``count`` rows
+    held = F.coalesce(F.sum("size").over(before), F.lit(0))
+    return taken.withColumn("held", held).where(F.col("held") < TRAIN_BYTES).select("doc_id", "toxic", "h")
+
+
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Chain:
     """Learns from labelled documents outside the held-out fifth; the sample is bounded by ``per_class`` texts."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high"))
     known = known.where((F.col("toxic") == F.col("high")) & F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
-    docs = documents.where("text is not null").where(F.octet_length("text") <= TRAIN_TEXT_BYTES).select("doc_id", "text")
-    rows = known.join(docs.select("doc_id"), "doc_id").select("doc_id", "toxic").distinct()
+    docs = documents.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("h"))
+    rows = known.join(docs.select("doc_id", "h", F.octet_length("text").alias("size")), "doc_id")
+    rows = rows.select("doc_id", "toxic", "h", "size").distinct()
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    picked = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
-    chosen = picked[0].union(picked[1])  # at most 2 * per_class rows
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text").distinct().collect()
+    chosen = _first(rows, 0, per_class).union(_first(rows, 1, per_class))  # at most 2 * per_class rows
+    sample = docs.join(F.broadcast(chosen), ["doc_id", "h"]).select("doc_id", "toxic", "text").distinct().collect()
     sample.sort(key=lambda r: (r.doc_id, r.text))
     texts = {r.text: r.toxic for r in sample}  # copies count once
     rate = counts.get(1, 0) / max(1, sum(counts.values()))
@@ -407,7 +451,8 @@ def score(documents: DataFrame, chain: Chain, keep: list[str]) -> DataFrame:
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(documents, fit(documents, labels), ["doc_id"]).withColumnRenamed("__score", "score")
     return scored.select(
-        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("__spans").alias("n_spans")
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("__spans").alias("n_spans"), F.transform("__spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))).alias("spans"),
     )
 
 
