@@ -28,6 +28,7 @@ Defined cases
 
 from __future__ import annotations
 
+import io
 import re
 import zlib
 from array import array
@@ -433,11 +434,26 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) ->
     rows = rows.select("doc_id", "toxic", "h", "size").distinct()
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = _first(rows, 0, per_class).union(_first(rows, 1, per_class))  # at most 2 * per_class rows
-    sample = docs.join(F.broadcast(chosen), ["doc_id", "h"]).select("doc_id", "toxic", "text").distinct().collect()
-    sample.sort(key=lambda r: (r.doc_id, r.text))
-    texts = {r.text: r.toxic for r in sample}  # copies count once
+    sample = docs.join(F.broadcast(chosen), ["doc_id", "h"]).select("doc_id", "toxic", "text").distinct()
     rate = counts.get(1, 0) / max(1, sum(counts.values()))
-    return train(list(texts), list(texts.values()), rate)
+    return _trained_in_a_task(sample, rate)
+
+
+def _trained_in_a_task(sample: DataFrame, rate: float) -> Chain:
+    """Trains where executors have memory for it; only the weights come to the driver. The sample is bounded (``fit``)."""
+
+    def run(batches):
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
+        texts = {text: toxic for _, text, toxic in sorted(rows, key=lambda r: r[:2])}  # copies count once
+        chain, sink = train(list(texts), list(texts.values()), rate), io.BytesIO()
+        np.savez(sink, **{name: np.asarray(getattr(chain, name)) for name in Chain.__dataclass_fields__})
+        yield pa.RecordBatch.from_pydict({"chain": pa.array([sink.getvalue()], pa.binary())})
+
+    row = sample.repartition(1).mapInArrow(run, "chain binary").first()
+    if row is None:  # an empty sample runs no task
+        return train([], [], rate)
+    stored = np.load(io.BytesIO(row.chain))
+    return Chain(**{name: stored[name] if stored[name].ndim else float(stored[name]) for name in Chain.__dataclass_fields__})
 
 
 def score(documents: DataFrame, chain: Chain, keep: list[str]) -> DataFrame:
