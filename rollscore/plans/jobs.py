@@ -71,7 +71,7 @@ def training_step_job(
     output_tokens`` plus ``policy_log_probs, old_log_probs, response_mask``.
     """
     paths = {name: os.path.join(out_dir, name) for name in
-             ("scored", "advantages", "tokens", "step_metrics", "metrics", "eval_summary", "examples")}
+             ("scored", "advantages", "tokens", "step_metrics", "metrics", "eval_metrics", "eval_summary", "examples")}
     rollouts = rollouts.drop("target", "nums")  # ground truth comes from the task table
     arrays = ["policy_log_probs", "old_log_probs", "response_mask"]
     joined, matched = attach_tasks_observed(rollouts, tasks)
@@ -106,10 +106,10 @@ def training_step_job(
     summary = E.eval_summary(evals, ("run_id", "step"), "exact")
     summary.write.mode("overwrite").parquet(paths["eval_summary"])
     summary_t = spark.read.schema(summary.schema).parquet(paths["eval_summary"])
-    SK.write_metrics(M.eval_metrics_long(M.with_best_accuracy(summary_t)), paths["metrics"], "eval", batch)
+    SK.write_metrics(M.eval_metrics_long(M.with_best_accuracy(summary_t)), paths["eval_metrics"], "eval", batch)
     top = E.top_examples(evals, n=10)
     E.examples_report(top).write.mode("overwrite").parquet(paths["examples"])
-    SK.write_metrics(E.examples_long(top), paths["metrics"], "examples", batch)
+    SK.write_metrics(E.examples_long(top), paths["eval_metrics"], "examples", batch)
     return paths
 
 

@@ -92,7 +92,7 @@ def test_training_step_reports_unmatched_and_ragged_rows(spark):
     with pytest.raises(ValueError, match="n_ragged"):
         J.training_step_job(spark, rollouts.where("NOT (task_id < 9 AND slot = 3)"), tasks, scratch_dir(spark, "job"), buckets=2)
     paths = J.training_step_job(spark, rollouts, tasks, scratch_dir(spark, "job"), buckets=2)
-    tags = {r.tag for r in spark.read.parquet(paths["metrics"]).select("tag").distinct().collect()}
+    tags = {r.tag for p in ("metrics", "eval_metrics") for r in spark.read.parquet(paths[p]).select("tag").distinct().collect()}
     assert {"train/loss", "eval/accuracy", "eval/best_accuracy", "eval/examples_correct"} <= tags
 
 
