@@ -267,9 +267,9 @@ def test_whole_table_queries_leave_nothing_out(spark):
 
     sf = "/root/testdata/sf0.001"
     categories = lambda df: {r[0] for r in df.select("category").distinct().collect()}
-    assert categories(QUERIES["best_so_far_b_all"](spark, sf)) == categories(FX.metric_history(spark, sf)) != {"click"}
+    assert categories(QUERIES["best_so_far_b"](spark, sf)) == categories(FX.metric_history(spark, sf)) != {"click"}
     turns = FX.read_table(spark, sf, "conversations")
-    assert QUERIES["text_answer_null_path_all"](spark, sf).count() == turns.count() > turns.where("role = 'assistant'").count()
-    assert QUERIES["group_expand_all"](spark, sf).count() == 8 * FX.tasks(spark, sf).count()
-    joined = sum(r.n_rows for r in QUERIES["rollout_task_join_all"](spark, sf).collect())
+    assert QUERIES["text_answer_null_path"](spark, sf).count() == turns.count() > turns.where("role = 'assistant'").count()
+    assert QUERIES["group_expand"](spark, sf).count() == 8 * FX.tasks(spark, sf).count()
+    joined = sum(r.n_rows for r in QUERIES["rollout_task_join"](spark, sf).collect())
     assert joined == FX.rollouts(spark, sf).count()
