@@ -3,19 +3,22 @@
 A byte goes if some ``length``-byte string over it also starts earlier (in a
 document of smaller id, or before it in the same one).
 
-1. Of equal texts only the first is searched; the others repeat it whole.
+1. Different texts are laid out once, in files bucketed by their digest; later steps join narrow rows to that
+   layout. Of equal texts the first is searched, the others repeat it whole.
 2. Every string of ``length`` bytes has an anchor: the leftmost of its
    ``GRAM``-byte grams with the smallest hash. Neighbouring strings share theirs,
    so a text is a row of regions, one per anchor. Equal strings have equal anchors
    in equal places: only regions whose anchor occurs again can repeat.
 3. Equal regions repeat their first occurrence whole (found by 128 bits of hash).
-   What is left, the first occurrences of different regions around one
-   anchor, differ at the edges of copies. Their suffixes are sorted in buckets of
-   bounded size: multikey quicksort over 8-byte words to ``SHALLOW`` words, then a
-   blind trie for each group that still agrees. Suffixes that end in one leaf are
-   equal over the whole length; all but the first repeat.
-4. An anchor with more than ``HOT`` different regions would overfill a bucket:
-   its suffixes are dealt by content, pre-aggregated to the first occurrence.
+   What is left, the first occurrences of different regions around one anchor, differ at the edges of copies.
+4. These are dealt by further bytes: the strings of a region whose anchor stands within the same ``STEP`` places
+   share the bytes around it, their core. Cores that occur once hold no repeat. The strings of the others are sorted
+   in buckets of bounded size: multikey quicksort over 8-byte words to ``SHALLOW`` words, then a blind trie for each
+   group that still agrees. Strings that end in one leaf are equal over the whole length; all but the first repeat.
+5. A core with more rows than a bucket takes is sorted in several; the first strings of each are sorted once more, dealt by
+   their whole content.
+
+Every count or minimum over a key that may be hot is taken by key and salt first and goes back by key and salt.
 
 Defined cases
 * null text is empty text; texts shorter than ``length`` bytes keep everything;
@@ -30,17 +33,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..sources.stores import bucket_names
 from .storage import Workspace
 
 LENGTH = 100
 GRAM = 32
 SHALLOW = 3
-HOT = 256
-BUCKET_REGIONS = 2000
+#: Places of the anchor in a string that are dealt together.
+STEP = 24
+BUCKET_ROWS = 2000
+#: Parts that multikey quicksort no longer splits.
+SMALL = 256
 #: Texts are searched in pieces of this many string starts.
 PIECE = 1 << 19
 SALTS = 32
@@ -116,22 +122,33 @@ def _anchors(length: int):
 
 
 def _pieces(length: int):
-    """Bytes of the wanted regions of a text."""
+    """Strings of the wanted regions of a text, a row for each run of them that shares a core; ``key`` names the core."""
 
     def run(batches):
         for batch in batches:
             for text, rows in zip(batch.column("text"), batch.column("wanted")):
-                data, out = text.as_py(), rows.as_py()
-                for s in range(0, len(out), 8192):
-                    part = out[s : s + 8192]
-                    columns = {n: [r[n] for r in part] for n in ("doc", "at", "before", "after", "gram", "hot")}
-                    columns["bytes"] = [data[r["at"] - r["before"] : r["at"] - r["after"] + length] for r in part]
-                    yield pa.RecordBatch.from_pydict(columns, schema=PIECES)
+                data, out = text.as_py(), []
+                for r in rows.as_py():
+                    doc, at, before, after = r["doc"], r["at"], r["before"], r["after"]
+                    for low in range(after // STEP * STEP, before + 1, STEP):
+                        high = min(low + STEP - 1, length - GRAM)
+                        core = hashlib.blake2b(data[at - low : at - high + length], digest_size=8, key=bytes([low])).digest()
+                        start, last = at - min(high, before), at - max(low, after)
+                        out.append((int.from_bytes(core, "big", signed=True), doc, start, data[start : last + length]))
+                    if len(out) >= 8192:
+                        yield _batch(out)
+                        out = []
+                if out:
+                    yield _batch(out)
 
     return run
 
 
-PIECES = pa.schema([("doc", pa.int64()), ("at", pa.int64()), ("before", pa.int32()), ("after", pa.int32()), ("gram", pa.int64()), ("hot", pa.bool_()), ("bytes", pa.binary())])
+PIECES = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PIECES)], schema=PIECES)
 
 
 def shallow_groups(words: np.ndarray, depth: int) -> list[np.ndarray]:
@@ -143,7 +160,7 @@ def shallow_groups(words: np.ndarray, depth: int) -> list[np.ndarray]:
             out.append(rows)
             continue
         column = words[rows, d]
-        if len(rows) <= 4096:  # small parts: the remaining words at once
+        if len(rows) <= SMALL:  # small parts: the remaining words at once
             order = np.lexsort([words[rows, k] for k in range(depth - 1, d - 1, -1)])
             part = words[rows[order], d:depth]
             cuts = np.flatnonzero((part[1:] != part[:-1]).any(axis=1)) + 1
@@ -216,43 +233,69 @@ def deep_shallow(suffixes: np.ndarray, length: int) -> list[list[int]]:
 
 
 def _sorted_repeats(length: int):
+    """Runs of strings that repeat an earlier one of the bucket, and, of rows marked ``again``, the first ones with their bytes."""
+
     def run(rows: pa.Table) -> pa.Table:
-        views, docs, starts = [], [], []
-        for doc, at, before, data in zip(*(rows.column(c).to_pylist() for c in ("doc", "at", "before", "bytes"))):
+        views, docs, starts, merge = [], [], [], []
+        for doc, at, again, data in zip(*(rows.column(c).to_pylist() for c in ("doc", "start", "again", "bytes"))):
             view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), length)
             views.append(view)
             docs.append(np.full(len(view), doc))
-            starts.append(np.arange(len(view)) + at - before)
-        doc, start = np.concatenate(docs), np.concatenate(starts)
-        gone = []
-        for group in deep_shallow(np.concatenate(views), length):
-            if len(group) > 1:
-                first = min(group, key=lambda i: (doc[i], start[i]))
-                gone.extend(i for i in group if i != first)
-        gone = np.array(gone, np.int64)
+            starts.append(np.arange(len(view)) + at)
+            merge.append(np.full(len(view), again))
+        doc, start, merge, strings = (np.concatenate(c) for c in (docs, starts, merge, views))
+        gone, kept = [], []
+        for group in deep_shallow(strings, length):
+            first = group[0] if len(group) == 1 else min(group, key=lambda i: (doc[i], start[i]))
+            gone.extend(i for i in group if i != first)
+            if merge[first]:
+                kept.append(first)
+        gone, kept = np.array(gone, np.int64), np.array(kept, np.int64)
         gone = gone[np.lexsort([start[gone], doc[gone]])]
         d, s = doc[gone], start[gone]
         fresh = np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + length)]) if len(gone) else np.empty(0, bool)
         last = np.concatenate([fresh[1:], [True]]) if len(gone) else fresh
-        return pa.table({"doc": d[fresh].astype(np.int64), "start": s[fresh].astype(np.int64), "stop": (s[last] + length).astype(np.int64)})
+        columns = [
+            pa.array(np.concatenate([d[fresh], doc[kept]]).astype(np.int64)),
+            pa.array(np.concatenate([s[fresh], start[kept]]).astype(np.int64)),
+            pa.array(np.concatenate([s[last], start[kept]]).astype(np.int64) + length),
+            pa.array([None] * int(fresh.sum()) + [strings[i].tobytes() for i in kept], pa.binary()),
+        ]
+        return pa.Table.from_arrays(columns, names=["doc", "start", "stop", "bytes"])
 
     return run
 
 
-def _hot_repeats(pieces: DataFrame, length: int) -> DataFrame:
-    """Repeated strings around very frequent anchors: dealt by content and aggregated to first occurrences, which
-    go back to their regions; what a region has besides is repeated. Its strings all overlap, so it has one run."""
-    region = ["doc", "at", "before"]
-    each = pieces.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("before") - F.col("after")))).select(
-        F.sha2(F.substring("bytes", F.col("k") + 1, F.lit(length)), 256).alias("string"),
-        F.struct("doc", (F.col("at") - F.col("before") + F.col("k")).alias("start"), "at", "before").alias("place"),
-    )
-    firsts = each.groupBy("string").agg(F.min("place").alias("place"))
-    kept = firsts.groupBy(*(F.col(f"place.{c}") for c in region)).agg(F.collect_list("place.start").alias("kept"))
-    starts = F.sequence(F.col("at") - F.col("before"), F.col("at") - F.col("after"))
-    gone = F.array_except(starts, F.coalesce("kept", F.array().cast("array<bigint>")))
-    found = pieces.select(*region, "after").join(kept, region, "left").select("doc", gone.alias("gone")).where(F.size("gone") > 0)
-    return found.select("doc", F.array_min("gone").alias("start"), (F.array_max("gone") + length).alias("stop"))
+def _sorted(rows: DataFrame, bucket: Column, length: int) -> DataFrame:
+    dealt = rows.select("doc", "start", "bytes", "again", bucket.alias("bucket"))
+    return dealt.groupBy("bucket").applyInArrow(_sorted_repeats(length), "doc long, start long, stop long, bytes binary")
+
+
+def _buckets(n: int, size: int) -> Column:
+    return F.lit(max(1, -(-n // size)))
+
+
+def _totals(ws: Workspace, name: str, rows: DataFrame, keys: list[str], parts: list[Column], wholes: list[Column]):
+    """Totals over ``keys``: a row per key and salt, to be joined back with the rows, and a row per key."""
+    part = ws.save(rows.groupBy(*keys, "salt").agg(*parts), f"{name}-parts")
+    whole = part.groupBy(*keys).agg(*wholes)
+    return part.select(*keys, "salt").join(whole, keys), whole
+
+
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def _layout(ws: Workspace, docs: DataFrame) -> DataFrame:
+    """digest, text: one row of each text, in as many buckets as a shuffle has partitions, so that joins by digest leave it in place.
+    Copies meet in the partial aggregates."""
+    spark = docs.sparkSession
+    texts = docs.groupBy("digest").agg(F.first("text").alias("text"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with bucket_names(spark, "texts") as (name,):
+        writer = texts.write.format("parquet").option("path", ws.folder("texts")).option("compression", "zstd")
+        writer.bucketBy(buckets, "digest").sortBy("digest").saveAsTable(name)
+        return spark.table(name)
 
 
 def _cut(spans: list[dict], n: int) -> tuple[list[tuple[int, int]], int]:
@@ -268,79 +311,89 @@ def _cut(spans: list[dict], n: int) -> tuple[list[tuple[int, int]], int]:
 def _kept(batches):
     for batch in batches:
         out = []
-        for text, again, spans in zip(*(batch.column(c) for c in ("text", "again", "spans"))):
-            data = text.as_py() or b""
-            merged, removed = _cut([{"start": 0, "stop": len(data)}] if again.as_py() else spans.as_py() or [], len(data))
+        for text, spans in zip(batch.column("text"), batch.column("spans")):
+            data = text.as_py()
+            merged, removed = _cut(spans.as_py(), len(data))
             at, parts = 0, []
             for a, b in merged:
                 parts.append(data[at:a])
                 at = b
             parts.append(data[at:])
             flat = [x for span in merged for x in span]
-            out.append((len(data), removed, len(merged), hashlib.sha256(b"".join(parts)).hexdigest(), flat))
-        columns = list(zip(*out)) if out else [()] * 5
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+            out.append((removed, len(merged), hashlib.sha256(b"".join(parts)).hexdigest(), flat))
+        columns = list(zip(*out)) if out else [()] * 4
+        types = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"],
+            [batch.column("doc"), *(pa.array(c, t) for c, t in zip(columns, types))],
+            names=["doc", "n_removed", "n_spans", "kept_sha256", "removed"],
         )
 
 
+def _spans(ws: Workspace, texts: DataFrame, leads: DataFrame, length: int) -> DataFrame:
+    """doc, start, stop of repeats in the texts of ``leads`` (digest, doc)."""
+    anchors = texts.join(leads, "digest").select("doc", "text")
+    anchors = ws.save(anchors.mapInArrow(_anchors(length), "doc long, at long, before int, after int, gram long, region long"), "anchors")
+    dealt = anchors.withColumn("salt", _salt("doc", "at"))
+    count, total = F.count("*").alias("n"), F.sum("n").alias("n")
+    again, _ = _totals(ws, "grams", dealt, ["gram"], [count], [total])
+    hits = ws.save(dealt.join(again.where("n > 1").drop("n"), ["gram", "salt"]), "hits")
+    ws.drop("anchors", "grams-parts")
+
+    place = F.min(F.struct("doc", "at", "before", "after")).alias("f")
+    equal, first = _totals(ws, "regions", hits, ["gram", "region"], [place, count], [F.min("f").alias("f"), total])
+    equal = hits.join(equal.where("n > 1"), ["gram", "region", "salt"]).where("doc != f.doc or at != f.at").select(
+        "doc", (F.col("at") - F.col("before")).alias("start"), (F.col("at") - F.col("after") + length).alias("stop")
+    )
+    first = ws.save(first.select("gram", "f.*").withColumn("salt", _salt("doc", "at")), "first")
+    several, _ = _totals(ws, "several", first, ["gram"], [count], [total])
+    wanted = first.join(several.where("n > 1").drop("n"), ["gram", "salt"])
+    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("doc", "at", "before", "after")).alias("wanted"))  # of one document
+    places = lists.join(leads, "doc").select("digest", "wanted")
+    pieces = texts.join(places, "digest").select("text", "wanted")
+    pieces = ws.save(pieces.mapInArrow(_pieces(length), "key long, doc long, start long, bytes binary"), "pieces")
+
+    salted = pieces.withColumn("salt", _salt("doc", "start"))
+    cores, _ = _totals(ws, "cores", salted, ["key"], [count], [total])
+    sharing = ws.save(salted.join(cores.where("n > 1"), ["key", "salt"]), "sharing")
+    ws.drop("pieces")
+    width = F.ceil(F.col("n") / BUCKET_ROWS)
+    bucket = F.pmod(F.xxhash64("key", F.pmod(F.xxhash64("start", "doc"), width)), _buckets(sharing.count(), BUCKET_ROWS))
+    near = ws.save(_sorted(sharing.withColumn("again", width > 1), bucket, length), "sorted")
+    left = near.where("bytes is not null").withColumn("again", F.lit(False))
+    bucket = F.pmod(F.xxhash64("bytes"), _buckets(left.count(), BUCKET_ROWS * STEP))
+    found = equal.unionByName(near.where("bytes is null").drop("bytes")).unionByName(_sorted(left, bucket, length).drop("bytes"))
+    return found
+
+
 def repeated(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (starts and stops of the cut runs)."""
     ws = Workspace(documents.sparkSession, "repeats")
     docs = documents.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     docs = docs.withColumn("digest", F.sha2("text", 256))
+    rows = ws.save(docs.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "rows")
     # One row per document, numbered in order of doc_id: ranges first, then positions within each.
-    keys = docs.select("doc_id", "digest", F.octet_length("text").alias("n")).distinct().repartitionByRange("doc_id", "digest")
-    keys = ws.save(keys.sortWithinPartitions("doc_id", "digest").withColumn("doc", F.monotonically_increasing_id()), "keys")
-    firsts = keys.where(F.col("n") >= length).groupBy("digest").agg(F.min("doc").alias("doc"), F.count("*").alias("n_copies"))
-    firsts = ws.save(firsts, "firsts")
-    same_id = F.col("k.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("k.digest") == F.col("d.digest"))
-    searched = keys.join(firsts.select("doc"), "doc", "left_semi").select("doc", "doc_id", "digest")
-    search = docs.alias("d").join(searched.alias("k"), same_id).select("k.doc", "d.text")
-    anchors = search.mapInArrow(_anchors(length), "doc long, at long, before int, after int, gram long, region long")
-    anchors = ws.save(anchors, "anchors")
-    again = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    hits = ws.save(anchors.join(again, "gram"), "hits")
-    first = hits.groupBy("gram", "region").agg(F.min(F.struct("doc", "at", "before", "after")).alias("f"), F.count("*").alias("n"))
-    first = ws.save(first, "first-regions")
-    shared = first.where("n > 1").select("gram", "region", "f").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = hits.withColumn("salt", F.pmod(F.xxhash64("doc", "at"), F.lit(SALTS)).cast("int"))
-    equal = dealt.join(shared, ["gram", "region", "salt"]).where("doc != f.doc or at != f.at").select(
-        "doc", (F.col("at") - F.col("before")).alias("start"), (F.col("at") - F.col("after") + length).alias("stop")
-    )
-    several = first.groupBy("gram").agg(F.count("*").alias("n_regions")).where("n_regions > 1")
-    wanted = first.join(several, "gram").select("f.doc", "f.at", "f.before", "f.after", "gram", (F.col("n_regions") > HOT).alias("hot"))
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("doc", "at", "before", "after", "gram", "hot")).alias("wanted"))
-    lists = ws.save(lists, "wanted")  # as many regions as the document has, at most
-    places = lists.join(keys.select("doc", "doc_id", "digest"), "doc")
-    pieces = docs.alias("d").join(places.alias("k"), same_id).select("d.text", "k.wanted")
-    pieces = pieces.mapInArrow(_pieces(length), "doc long, at long, before int, after int, gram long, hot boolean, bytes binary")
-    pieces = ws.save(pieces.dropDuplicates(["doc", "at", "before"]) if _repeats_rows(docs, keys) else pieces, "pieces")
-    rare = pieces.where("not hot")
-    buckets = max(1, -(-rare.count() // BUCKET_REGIONS))
-    sorted_ = rare.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets))).groupBy("bucket").applyInArrow(
-        _sorted_repeats(length), "doc long, start long, stop long"
+    keys = rows.distinct().repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
+    keys = ws.save(keys.withColumn("doc", F.monotonically_increasing_id()), "keys")
+    long = keys.where(F.col("n_bytes") >= length).withColumn("salt", _salt("doc"))
+    leading, leads = _totals(ws, "leads", long, ["digest"], [F.min("doc").alias("lead")], [F.min("lead").alias("lead")])
+    leads = ws.save(leads.select("digest", F.col("lead").alias("doc")), "leads")
+    texts = _layout(ws, docs.where(F.octet_length("text") >= length))
+    spans = _spans(ws, texts, leads, length).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = ws.save(spans.join(leads, "doc"), "spans")
+    cut = texts.join(spans, "digest").select("doc", "text", "spans")
+    cut = cut.mapInArrow(_kept, "doc long, n_removed long, n_spans long, kept_sha256 string, removed array<bigint>")
+    # Only documents with something to cut carry an entry; the others are untouched, later copies are cut whole.
+    none = [F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256")]
+    copies = long.join(leading, ["digest", "salt"]).where("doc != lead")
+    copies = copies.select("doc", *none, F.array(F.lit(0).cast("long"), "n_bytes").alias("removed"))
+    marks = ws.save(cut.unionByName(copies).join(keys.drop("n_bytes"), "doc").drop("doc"), "marks")
+    same = F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("r.digest") == F.col("m.digest"))
+    return rows.alias("r").join(marks.alias("m"), same, "left").select(
+        "r.doc_id", "r.n_bytes",
+        *(F.coalesce(f"m.{c}", F.lit(0)).alias(c) for c in ("n_removed", "n_spans")),
+        F.coalesce("m.kept_sha256", "r.digest").alias("kept_sha256"),
+        F.coalesce("m.removed", F.array().cast("array<bigint>")).alias("removed"),
     )
-    spans = equal.unionByName(sorted_).unionByName(_hot_repeats(pieces.where("hot"), length))
-    spans = ws.save(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
-    ws.drop("anchors", "hits", "pieces")
-    # Only documents with something to cut carry an entry; the others are untouched.
-    copies = keys.join(firsts.where("n_copies > 1").select("digest", F.col("doc").alias("lead")), "digest").where("doc != lead").select("doc", F.lit(True).alias("again"))
-    marks = spans.join(copies, "doc", "full").join(keys.select("doc", "doc_id", "digest"), "doc")
-    marks = ws.save(marks.select("doc_id", "digest", "spans", F.coalesce("again", F.lit(False)).alias("again")), "marks")
-    rows = docs.alias("d").join(marks.alias("k"), same_id, "left").select("d.doc_id", "d.text", F.coalesce("k.again", F.lit(False)).alias("again"), "k.spans")
-    schema = documents.select("doc_id").schema
-    for name in ("n_bytes", "n_removed", "n_spans"):
-        schema = schema.add(name, T.LongType())
-    schema = schema.add("kept_sha256", T.StringType()).add("removed", T.ArrayType(T.LongType()))
-    return rows.mapInArrow(_kept, schema)
-
-
-def _repeats_rows(docs: DataFrame, keys: DataFrame) -> bool:
-    """Whether some (doc_id, text) comes more than once, so that its regions were read more than once."""
-    return docs.count() != keys.count()
 
 
 def report(documents: DataFrame) -> DataFrame:

@@ -146,9 +146,9 @@ def _removed(rows, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 2])
-def test_repeats_against_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT", hot)
+@pytest.mark.parametrize("rows_of_a_bucket", [repeats.BUCKET_ROWS, 2])
+def test_repeats_against_brute_force(spark, monkeypatch, rows_of_a_bucket):
+    monkeypatch.setattr(repeats, "BUCKET_ROWS", rows_of_a_bucket)
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdé fgh") for _ in range(n))
     shared, whole = text(260), text(900)
@@ -160,6 +160,22 @@ def test_repeats_against_brute_force(spark, monkeypatch, hot):
     assert repeats.report(docs.where("false")).count() == 0
 
 
+def test_repeats_of_equal_rows_shared_ids_and_null_ids(spark):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcde fgh") for _ in range(n))
+    a, b = text(300), text(300)
+    rows = [(1, a), (1, a), (2, b + a[50:200]), (3, a), (None, b), (4, "")]
+    got = sorted(tuple(r)[:4] for r in repeats.report(_docs(spark, [(i, t, "s") for i, t in rows])).collect() if r.doc_id is not None)
+    plain = _removed([(0, b), (1, a), (2, b + a[50:200]), (3, a), (4, "")], 100)
+    assert got == sorted([t[:4] for t in plain[1:]] + [plain[1][:4]])
+    first = repeats.report(_docs(spark, [(i, t, "s") for i, t in rows])).where("doc_id is null").collect()
+    assert [tuple(r)[1:] for r in first] == [plain[0][1:]]
+    one_id = [(1, a), (1, b + a[:150])]
+    order = sorted(one_id, key=lambda r: hashlib.sha256(r[1].encode()).hexdigest())
+    expected = [t[1:] for t in _removed([(i, t) for i, (_, t) in enumerate(order)], 100)]
+    assert sorted(tuple(r)[1:] for r in repeats.report(_docs(spark, [(i, t, "s") for i, t in one_id])).collect()) == sorted(expected)
+
+
 def test_deep_shallow_orders_and_groups():
     rng = np.random.default_rng(1)
     rows = np.repeat(rng.integers(97, 99, (300, 60), dtype=np.uint8), rng.integers(1, 4, 300), axis=0)
