@@ -18,7 +18,7 @@ document of smaller id, or before it in the same one).
 5. A core with more rows than a bucket takes is sorted in several; the first strings of each are sorted once more, dealt by
    their whole content.
 
-Every count or minimum over a key that may be hot is taken by key and salt first and goes back by key and salt.
+Counts and minima over keys come from partial aggregates; rows of a heavy key are salted when those go back to them.
 
 Defined cases
 * null text is empty text; texts shorter than ``length`` bytes keep everything;
@@ -49,6 +49,7 @@ BUCKET_ROWS = 2000
 SMALL = 256
 #: Texts are searched in pieces of this many string starts.
 PIECE = 1 << 19
+HEAVY = 1024
 SALTS = 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE2 = np.uint64(0xD6E8FEB86659FD93)
@@ -83,8 +84,8 @@ def _lowest(keys: np.ndarray, span: int) -> np.ndarray:
 
 
 def regions(data: bytes, length: int, powers: tuple[_Powers, _Powers]):
-    """(at, before, after, anchor hash, region hash) arrays: the strings that start in
-    [at - before, at - after] have their anchor at ``at``."""
+    """(start, before, after, anchor hash, region hash) arrays: the strings that start from ``start`` on have their
+    anchor ``before`` bytes after it, down to ``after`` bytes after the last one's start."""
     whole = np.frombuffer(data, np.uint8)
     span = length - GRAM + 1
     out = []
@@ -101,7 +102,7 @@ def regions(data: bytes, length: int, powers: tuple[_Powers, _Powers]):
         a = anchor[left]
         content = powers[1].hashes(powers[1].prefix(piece), left, right + length)
         shape = ((a - left) * 1024 + (a - right)).astype(np.uint64)
-        out.append((a + base, a - left, a - right, grams[a].view(np.int64), _mixed(content + shape * BASE).view(np.int64)))
+        out.append((left + base, a - left, a - right, grams[a].view(np.int64), _mixed(content + shape * BASE).view(np.int64)))
     return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 5
 
 
@@ -110,12 +111,12 @@ def _anchors(length: int):
         powers = tuple(_Powers(b, PIECE + length) for b in (BASE, BASE2))
         for batch in batches:
             for i, text in enumerate(batch.column("text")):
-                at, before, after, gram, region = regions(text.as_py() or b"", length, powers)
-                if len(at):
-                    doc = pa.array(np.full(len(at), batch.column("doc")[i].as_py(), np.int64))
+                start, before, after, gram, region = regions(text.as_py() or b"", length, powers)
+                if len(start):
+                    doc = pa.array(np.full(len(start), batch.column("doc")[i].as_py(), np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [doc, *map(pa.array, (at, before.astype(np.int32), after.astype(np.int32), gram, region))],
-                        names=["doc", "at", "before", "after", "gram", "region"],
+                        [doc, *map(pa.array, (start, before.astype(np.int32), after.astype(np.int32), gram, region))],
+                        names=["doc", "start", "before", "after", "gram", "region"],
                     )
 
     return run
@@ -129,7 +130,7 @@ def _pieces(length: int):
             for text, rows in zip(batch.column("text"), batch.column("wanted")):
                 data, out = text.as_py(), []
                 for r in rows.as_py():
-                    doc, at, before, after = r["doc"], r["at"], r["before"], r["after"]
+                    doc, at, before, after = r["doc"], r["start"] + r["before"], r["before"], r["after"]
                     for low in range(after // STEP * STEP, before + 1, STEP):
                         high = min(low + STEP - 1, length - GRAM)
                         core = hashlib.blake2b(data[at - low : at - high + length], digest_size=8, key=bytes([low])).digest()
@@ -275,15 +276,17 @@ def _buckets(n: int, size: int) -> Column:
     return F.lit(max(1, -(-n // size)))
 
 
-def _totals(ws: Workspace, name: str, rows: DataFrame, keys: list[str], parts: list[Column], wholes: list[Column]):
-    """Totals over ``keys``: a row per key and salt, to be joined back with the rows, and a row per key."""
-    part = ws.save(rows.groupBy(*keys, "salt").agg(*parts), f"{name}-parts")
-    whole = part.groupBy(*keys).agg(*wholes)
-    return part.select(*keys, "salt").join(whole, keys), whole
+def _joined(rows: DataFrame, keys: list[str], totals: DataFrame) -> DataFrame:
+    """``rows`` with the totals of their key (a row per key, ``n`` its number of rows; keys without a row there go).
 
-
-def _salt(*columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+    A key with more than 1/``HEAVY`` of all rows is heavy. There are fewer than ``HEAVY`` of them, so they
+    are broadcast, and their rows are dealt over ``SALTS`` tasks."""
+    least = rows.count() / HEAVY
+    heavy = totals.where(F.col("n") > least).select(*keys, F.lit(True).alias("heavy"))
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("doc", "start"), F.lit(SALTS)).cast("int")).otherwise(0)
+    dealt = rows.join(F.broadcast(heavy), keys, "left").withColumn("salt", salt).drop("heavy")
+    salts = F.when(F.col("n") > least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(totals.withColumn("salt", F.explode(salts)), [*keys, "salt"]).drop("salt")
 
 
 def _layout(ws: Workspace, docs: DataFrame) -> DataFrame:
@@ -332,37 +335,35 @@ def _kept(batches):
 def _spans(ws: Workspace, texts: DataFrame, leads: DataFrame, length: int) -> DataFrame:
     """doc, start, stop of repeats in the texts of ``leads`` (digest, doc)."""
     anchors = texts.join(leads, "digest").select("doc", "text")
-    anchors = ws.save(anchors.mapInArrow(_anchors(length), "doc long, at long, before int, after int, gram long, region long"), "anchors")
-    dealt = anchors.withColumn("salt", _salt("doc", "at"))
-    count, total = F.count("*").alias("n"), F.sum("n").alias("n")
-    again, _ = _totals(ws, "grams", dealt, ["gram"], [count], [total])
-    hits = ws.save(dealt.join(again.where("n > 1").drop("n"), ["gram", "salt"]), "hits")
-    ws.drop("anchors", "grams-parts")
-
-    place = F.min(F.struct("doc", "at", "before", "after")).alias("f")
-    equal, first = _totals(ws, "regions", hits, ["gram", "region"], [place, count], [F.min("f").alias("f"), total])
-    equal = hits.join(equal.where("n > 1"), ["gram", "region", "salt"]).where("doc != f.doc or at != f.at").select(
-        "doc", (F.col("at") - F.col("before")).alias("start"), (F.col("at") - F.col("after") + length).alias("stop")
+    anchors = ws.save(anchors.mapInArrow(_anchors(length), "doc long, start long, before int, after int, gram long, region long"), "anchors")
+    count = F.count("*").alias("n")
+    grams = ws.save(anchors.groupBy("gram").agg(count).where("n > 1"), "grams")
+    hits = ws.save(_joined(anchors, ["gram"], grams).drop("n"), "hits")
+    ws.drop("anchors")
+
+    place = F.min(F.struct("doc", "start", "before", "after")).alias("f")
+    regions = ws.save(hits.groupBy("gram", "region").agg(place, count), "regions")
+    again = regions.where("n > 1").select("gram", "region", "n", F.col("f.doc").alias("fd"), F.col("f.start").alias("fs"))
+    equal = _joined(hits, ["gram", "region"], again).where("doc != fd or start != fs").select(
+        "doc", "start", (F.col("start") + F.col("before") - F.col("after") + length).alias("stop")
     )
-    first = ws.save(first.select("gram", "f.*").withColumn("salt", _salt("doc", "at")), "first")
-    several, _ = _totals(ws, "several", first, ["gram"], [count], [total])
-    wanted = first.join(several.where("n > 1").drop("n"), ["gram", "salt"])
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("doc", "at", "before", "after")).alias("wanted"))  # of one document
+    first = regions.select("gram", "f.*")
+    several = ws.save(first.groupBy("gram").agg(count).where("n > 1"), "several")
+    wanted = _joined(first, ["gram"], several)
+    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("doc", "start", "before", "after")).alias("wanted"))  # of one document
     places = lists.join(leads, "doc").select("digest", "wanted")
     pieces = texts.join(places, "digest").select("text", "wanted")
     pieces = ws.save(pieces.mapInArrow(_pieces(length), "key long, doc long, start long, bytes binary"), "pieces")
 
-    salted = pieces.withColumn("salt", _salt("doc", "start"))
-    cores, _ = _totals(ws, "cores", salted, ["key"], [count], [total])
-    sharing = ws.save(salted.join(cores.where("n > 1"), ["key", "salt"]), "sharing")
+    cores = ws.save(pieces.groupBy("key").agg(count).where("n > 1"), "cores")
+    sharing = ws.save(_joined(pieces, ["key"], cores), "sharing")
     ws.drop("pieces")
     width = F.ceil(F.col("n") / BUCKET_ROWS)
     bucket = F.pmod(F.xxhash64("key", F.pmod(F.xxhash64("start", "doc"), width)), _buckets(sharing.count(), BUCKET_ROWS))
     near = ws.save(_sorted(sharing.withColumn("again", width > 1), bucket, length), "sorted")
     left = near.where("bytes is not null").withColumn("again", F.lit(False))
     bucket = F.pmod(F.xxhash64("bytes"), _buckets(left.count(), BUCKET_ROWS * STEP))
-    found = equal.unionByName(near.where("bytes is null").drop("bytes")).unionByName(_sorted(left, bucket, length).drop("bytes"))
-    return found
+    return equal.unionByName(near.where("bytes is null").drop("bytes")).unionByName(_sorted(left, bucket, length).drop("bytes"))
 
 
 def repeated(documents: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -374,9 +375,9 @@ def repeated(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     # One row per document, numbered in order of doc_id: ranges first, then positions within each.
     keys = rows.distinct().repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
     keys = ws.save(keys.withColumn("doc", F.monotonically_increasing_id()), "keys")
-    long = keys.where(F.col("n_bytes") >= length).withColumn("salt", _salt("doc"))
-    leading, leads = _totals(ws, "leads", long, ["digest"], [F.min("doc").alias("lead")], [F.min("lead").alias("lead")])
-    leads = ws.save(leads.select("digest", F.col("lead").alias("doc")), "leads")
+    long = keys.where(F.col("n_bytes") >= length).withColumn("start", F.lit(0))
+    firsts = ws.save(long.groupBy("digest").agg(F.min("doc").alias("lead"), F.count("*").alias("n")), "firsts")
+    leads = firsts.select("digest", F.col("lead").alias("doc"))
     texts = _layout(ws, docs.where(F.octet_length("text") >= length))
     spans = _spans(ws, texts, leads, length).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = ws.save(spans.join(leads, "doc"), "spans")
@@ -384,7 +385,7 @@ def repeated(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     cut = cut.mapInArrow(_kept, "doc long, n_removed long, n_spans long, kept_sha256 string, removed array<bigint>")
     # Only documents with something to cut carry an entry; the others are untouched, later copies are cut whole.
     none = [F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256")]
-    copies = long.join(leading, ["digest", "salt"]).where("doc != lead")
+    copies = _joined(long, ["digest"], firsts.where("n > 1")).where("doc != lead")
     copies = copies.select("doc", *none, F.array(F.lit(0).cast("long"), "n_bytes").alias("removed"))
     marks = ws.save(cut.unionByName(copies).join(keys.drop("n_bytes"), "doc").drop("doc"), "marks")
     same = F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("r.digest") == F.col("m.digest"))
