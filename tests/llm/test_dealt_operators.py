@@ -160,6 +160,12 @@ def test_repeats_against_brute_force(spark, monkeypatch, rows_of_a_bucket):
     assert repeats.report(docs.where("false")).count() == 0
 
 
+def test_repeats_of_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = sorted(tuple(r) for r in repeats.report(docs).collect())
+    assert got == sorted(_removed([tuple(r) for r in docs.select("doc_id", "text").collect()], 100))
+
+
 def test_repeats_of_equal_rows_shared_ids_and_null_ids(spark):
     rng = random.Random(5)
     text = lambda n: "".join(rng.choice("abcde fgh") for _ in range(n))
