@@ -12,8 +12,9 @@ Defined cases
 * null or wordless text: no words, nothing is hit; a wordless item never occurs;
 * an item shorter than the window is one window of its own length (found with
   a single hash per position of that length);
-* repeated rows: documents are keyed by (doc_id, text), equal rows give one
-  result row; repeated items count once; a null doc_id is a key like any other;
+* every document row gives one result row, repeated rows equal ones; two texts under
+  one doc_id are judged apart; a null doc_id is a key like any other;
+* repeated items count once; of several texts under one item_id, any may occur;
 * an item with a null item_id marks words but is not listed among the items;
 * further columns of either table are ignored; empty tables give no hits.
 """
@@ -136,7 +137,7 @@ def occurrences(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per (doc_id, text): doc_id, text_hash, n_words, n_hit, items (sorted ids as text)."""
+    """One row per document: doc_id, text_hash, n_words, n_hit, items (sorted ids as text)."""
     runs = occurrences(documents, benchmark, broadcast_bytes)
     key = ["doc_id", "text_hash"]
     runs = runs.groupBy(*key, "start").agg(F.max("stop").alias("stop"), F.collect_set(F.col("item_id").cast("string")).alias("ids"))
@@ -147,7 +148,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, broadcast_bytes: i
         .groupBy(*key)
         .agg(F.sum("fresh").cast("long").alias("n_hit"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"))
     )
-    docs = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_total(F.col("text")).alias("n_words")).distinct()
+    docs = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), word_total(F.col("text")).alias("n_words"))
     return (
         docs.alias("d")
         .join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.text_hash") == F.col("h.text_hash")), "left")
@@ -176,21 +177,21 @@ def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 ORACLE = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+WITH d AS (SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 iw AS (SELECT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
 lens AS (SELECT DISTINCT n FROM iw),
-dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
-       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
-hit AS (SELECT doc_id, dw.n, i, item_id FROM dw JOIN iw USING (n, g)),
-pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, n, i FROM hit)),
-np AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY 1),
-ni AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+dw AS (SELECT nr, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+       FROM (SELECT nr, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT nr, dw.n, i, item_id FROM dw JOIN iw USING (n, g)),
+pos AS (SELECT DISTINCT nr, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT nr, n, i FROM hit)),
+np AS (SELECT nr, count(*) AS n_hit FROM pos GROUP BY 1),
+ni AS (SELECT nr, count(DISTINCT item_id) AS n_items,
               string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hit GROUP BY 1)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN np USING (doc_id) LEFT JOIN ni USING (doc_id)
+FROM d LEFT JOIN np USING (nr) LEFT JOIN ni USING (nr)
 """
