@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .storage import whole_row
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -170,10 +172,10 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no benchmark window occurs in, all columns kept."""
     hit = decontaminate(documents, benchmark).where("n_hit > 0").select("doc_id", "text_hash")
-    d = documents.withColumn("__hash", F.xxhash64("text")).alias("d")
+    d = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), whole_row(documents)).alias("d")
     return d.join(
-        hit.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.__hash") == F.col("h.text_hash")), "left_anti"
-    ).drop("__hash")
+        hit.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.text_hash") == F.col("h.text_hash")), "left_anti"
+    ).select("__all.*")
 
 
 ORACLE = r"""

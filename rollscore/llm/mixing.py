@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .storage import Workspace
+from .storage import Workspace, whole_row
 
 POINTS = 32
 STEPS = 4
@@ -161,13 +161,15 @@ def places(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def mixture(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """One row per place in the mixture: the columns of ``documents`` and ``slot``."""
-    return places(documents, mix).select(*[F.col(c) for c in documents.columns], F.col("__slot").alias("slot"))
+    """One row per place in the mixture: the columns of ``documents`` and ``slot``, which replaces one of that name."""
+    rows = documents.select("doc_id", "text", "source", whole_row(documents, "slot"))
+    return places(rows, mix).select("__all.*", F.col("__slot").alias("slot"))
 
 
 def ordered(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """One row per place in the mixture: the columns of ``documents`` and ``__place``, by which a later stage sorts."""
-    return places(documents, mix).select(*[F.col(c) for c in documents.columns], "__place")
+    """One row per place in the mixture: the columns of ``documents`` and ``__place``, by which a later stage sorts (it replaces one of that name)."""
+    rows = documents.select("doc_id", "text", "source", whole_row(documents, "__place"))
+    return places(rows, mix).select("__all.*", "__place")
 
 
 def numbered(rows: DataFrame, ws: Workspace) -> DataFrame:

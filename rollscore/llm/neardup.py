@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .graph import components
-from .storage import Workspace
+from .storage import Workspace, whole_row
 
 BLOCK = 256
 HUB_ROUNDS = 2
@@ -346,10 +346,10 @@ def report(documents: DataFrame) -> DataFrame:
 def deduplicate(documents: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """All columns of one row of each component (smallest doc_id, null last, then smallest row), and of every row with an empty set."""
     ws = Workspace(documents.sparkSession, "neardup-rows")
-    rows = ws.save(documents.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows, plan, F.col("__row")).select("doc_id", "row_key", "set_key", "comp")
+    rows = ws.save(documents.select(whole_row(documents), F.monotonically_increasing_id().alias("__row")), "rows")
+    found = near_duplicates(rows.select("__all.doc_id", "__all.text", "__row"), plan, F.col("__row")).select("doc_id", "row_key", "set_key", "comp")
     found = ws.save(found, "found")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "set_key", "row_key"))
     kept = found.where("set_key is not null").groupBy("comp").agg(first.alias("first")).select(F.col("first.row_key").alias("__row"))
     kept = kept.union(found.where("set_key is null").select("row_key"))
-    return rows.join(ws.save(kept, "kept"), "__row", "left_semi").drop("__row")
+    return rows.join(ws.save(kept, "kept"), "__row", "left_semi").select("__all.*")

@@ -11,7 +11,8 @@ import os
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -45,5 +46,10 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def whole_row(documents: DataFrame, *without: str) -> Column:
+    """All columns as one struct ``__all``: whatever their names, they meet none that an operator adds. ``__all.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in documents.columns if c not in without]).alias("__all")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .storage import whole_row
+
 BUCKETS = 1 << 18
 TRAIN_DOCS = 2000
 TRAIN_BYTES = 8 << 20
@@ -474,4 +476,6 @@ def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score stays below 0.5, all columns kept."""
-    return score(documents, fit(documents, labels), documents.columns).where("__score < 0.5").drop("__score", "__spans")
+    rows = documents.select("text", whole_row(documents, "text"))
+    kept = score(rows, fit(documents, labels), ["text", "__all"]).where("__score < 0.5")
+    return kept.select(*[F.col("text" if c == "text" else f"__all.`{c}`") for c in documents.columns])
