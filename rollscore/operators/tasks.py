@@ -79,6 +79,20 @@ def flatten_outputs(df: DataFrame, outputs: str = "outputs", text_field: str = "
     )
 
 
+def token_bounds(df: DataFrame, at_least: int | None = None, at_most: int | None = None, tokens: str = "output_tokens") -> DataFrame:
+    """Rows whose token count lies within the bounds, both included; a missing
+    bound does not limit, a null count passes only without bounds.
+
+    Plain comparisons, so they reach the Parquet reader."""
+    if at_least is not None and at_most is not None and at_least > at_most:
+        raise ValueError(f"at_least ({at_least}) is above at_most ({at_most})")
+    if at_least is not None:
+        df = df.where(F.col(tokens) >= at_least)
+    if at_most is not None:
+        df = df.where(F.col(tokens) <= at_most)
+    return df
+
+
 def micro_batch_id(prompt_ord, slot, group_size: int, micro_size: int) -> Column:
     """Contiguous micro-batches of ``micro_size`` rows within a step."""
     po = F.col(prompt_ord) if isinstance(prompt_ord, str) else prompt_ord

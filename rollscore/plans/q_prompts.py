@@ -193,6 +193,12 @@ register("stop_truncate", "WITH " + ROLLOUT_PARTS.strip() +
         *ROLL_KEYS, X.truncate_at_stop(F.concat(F.col("response"), F.lit(_SUFFIX))).alias("response"))
 )
 
+_BOUNDS = (8, 40)
+register("token_bounds", "WITH " + ROLLOUT_PARTS.strip() +
+         f"\nSELECT {_RK}, output_tokens FROM rollout_parts WHERE output_tokens BETWEEN {_BOUNDS[0]} AND {_BOUNDS[1]}")(
+    lambda spark, sf: TS.token_bounds(FX.rollouts(spark, sf), *_BOUNDS).select(*ROLL_KEYS, "output_tokens")
+)
+
 register("eval_steps", "WITH " + ROLLOUT_PARTS.strip() +
          "\nSELECT step, count(*) AS n FROM rollout_parts WHERE step % 10 = 0 OR step = 0 GROUP BY step")(
     lambda spark, sf: TS.eval_steps(FX.rollouts(spark, sf), 10).groupBy("step").agg(F.count(F.lit(1)).alias("n"))

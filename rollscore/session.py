@@ -11,10 +11,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that matter for the jobs in this package. Applied with
-# ``setIfMissing`` semantics: a cluster's own configuration always wins.
+# Settings that matter for the jobs in this package. Applied only where neither
+# spark-submit, nor spark-defaults.conf, nor a running session has chosen one.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,6 +29,19 @@ DEFAULT_CONF = {
 }
 
 
+def _missing_defaults(explicit: dict[str, str]) -> dict[str, str]:
+    """The defaults for which nothing is configured yet."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        # A set option differs from an unset one in that it is listed.
+        chosen = set(running.conf.getAll)
+    else:
+        # Starts the gateway, which reads what spark-submit and the defaults file set.
+        SparkContext._ensure_initialized(conf=SparkConf(loadDefaults=False).setAll(list(explicit.items())))
+        chosen = {key for key, _ in SparkConf().getAll()}
+    return {key: value for key, value in DEFAULT_CONF.items() if key not in chosen}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "rollscore",
@@ -36,16 +50,17 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with this package's defaults.
 
-    ``master`` and ``shuffle_partitions`` are only applied when given, so a
-    cluster submission keeps whatever ``spark-submit`` configured.
+    ``master`` and ``shuffle_partitions`` are only applied when given, and the
+    defaults only where nothing is configured, so a cluster submission keeps
+    whatever ``spark-submit`` configured.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    explicit = dict(extra_conf or {})
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
+        explicit.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    conf = _missing_defaults(explicit) | explicit
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

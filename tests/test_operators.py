@@ -2,6 +2,8 @@
 
 import os
 import re
+import subprocess
+import sys
 import tempfile
 
 import pytest
@@ -273,3 +275,34 @@ def test_whole_table_queries_leave_nothing_out(spark):
     assert QUERIES["group_expand"](spark, sf).count() == 8 * FX.tasks(spark, sf).count()
     joined = sum(r.n_rows for r in QUERIES["rollout_task_join"](spark, sf).collect())
     assert joined == FX.rollouts(spark, sf).count()
+
+
+def test_token_bounds(spark, tmp_path):
+    path = f"{tmp_path}/rollouts"
+    spark.createDataFrame([(i, n) for i, n in enumerate([0, 7, 8, 40, 41, None])], "slot int, output_tokens long").write.parquet(path)
+    rows = spark.read.parquet(path)
+    slots = lambda *bounds: sorted(r.slot for r in TS.token_bounds(rows, *bounds).collect())
+    assert slots(8, 40) == [2, 3] and slots(8) == [2, 3, 4] and slots(None, 8) == [0, 1, 2] and slots() == list(range(6))
+    plan = TS.token_bounds(rows, 8, 40)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(output_tokens,8)" in plan and "LessThanOrEqual(output_tokens,40)" in plan
+    with pytest.raises(ValueError):
+        TS.token_bounds(rows, 9, 8)
+
+
+SESSION = """
+from pyspark.sql import SparkSession
+from rollscore.session import build_session
+if {running}:
+    SparkSession.builder.master("local[1]").config("spark.sql.session.timeZone", "Asia/Tokyo").getOrCreate()
+s = build_session("local[1]", shuffle_partitions=3, extra_conf={{"spark.driver.memory": "700m"}})
+print([s.conf.get("spark.sql." + k) for k in ("session.timeZone", "shuffle.partitions", "execution.arrow.pyspark.enabled")])
+"""
+
+
+@pytest.mark.parametrize("running", [False, True])
+def test_configured_settings_win_over_defaults(running):
+    submitted = "--conf spark.ui.enabled=false " + ("" if running else "--conf spark.sql.session.timeZone=Asia/Tokyo ") + "pyspark-shell"
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_GATEWAY_PORT"} | {"PYSPARK_SUBMIT_ARGS": submitted}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", SESSION.format(running=running)], env=env, cwd=root, capture_output=True, text=True, timeout=120)
+    assert "['Asia/Tokyo', '3', 'true']" in out.stdout, out.stderr[-2000:]
