@@ -6,6 +6,9 @@ the new rows). Each micro-batch is merged by the same chunked scan that the
 batch operator uses (no key is gathered in one task), so the manifest equals
 the batch result over everything that has arrived, in any order of arrival. A
 late row may therefore take back a stored best; late rows are counted per key.
+A micro-batch may hold several arrivals (column ``arrival``, ascending): a row is
+late when an earlier arrival, of this micro-batch or merged before, had its step
+or a later one, so the counts do not depend on how arrivals are batched.
 
 The manifest is versioned. A version is committed by the log that is written
 last and holds the last merged batch of each stream, so a batch that is
@@ -18,7 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +29,7 @@ from ..operators.layout import join_small
 from ..operators.metrics import DEFAULT_CHUNK_STEPS, new_bests
 
 KEYS = ("run_id", "category")
+ARRIVAL = "arrival"
 _LONG, _TEXT = T.LongType(), T.StringType()
 BESTS = T.StructType().add("run_id", _LONG).add("category", _TEXT).add("step", _LONG).add("score", T.DoubleType())
 SEEN = T.StructType().add("run_id", _LONG).add("category", _TEXT).add("last_step", _LONG).add("n_rows", _LONG).add("n_late", _LONG)
@@ -74,13 +78,19 @@ class BestManifest:
         log = self._table("log", LOG, last) if have else self.spark.createDataFrame([], LOG)
         if log.where((F.col("stream") == stream) & (F.col("batch") >= number)).head(1):
             return False
-        rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BESTS])
+        arrival = F.col(ARRIVAL) if ARRIVAL in batch.columns else F.lit(0)
+        arrived = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BESTS], arrival.cast("bigint").alias(ARRIVAL))
+        rows = arrived.drop(ARRIVAL)
         bests = self._table("bests", BESTS, last) if have else self.spark.createDataFrame([], BESTS)
         seen = self._table("seen", SEEN, last) if have else self.spark.createDataFrame([], SEEN)
         folder = f"{self.path}/version={(last if have else -1) + 1}"
         merged = new_bests(bests.unionByName(rows), init=self.init, chunk_steps=self.chunk_steps).select(*BESTS.fieldNames())
         merged.write.mode("overwrite").parquet(f"{folder}/bests")
-        before = join_small(rows, seen.select(*KEYS, "last_step"), KEYS, by="step", how="left")
+        earlier = Window.partitionBy(*KEYS).orderBy(ARRIVAL).rowsBetween(Window.unboundedPreceding, -1)
+        ends = arrived.groupBy(*KEYS, ARRIVAL).agg(F.max("step").alias("end"))
+        ends = ends.select(*KEYS, ARRIVAL, F.max("end").over(earlier).alias("end")).join(seen.select(*KEYS, "last_step"), list(KEYS), "left")
+        ends = ends.select(*KEYS, ARRIVAL, F.greatest("end", "last_step").alias("last_step"))
+        before = join_small(arrived, ends, [*KEYS, ARRIVAL], by="step", how="left")
         late = F.count_if(F.col("step") <= F.col("last_step"))
         new = before.groupBy(*KEYS).agg(F.max("step").alias("last_step"), F.count(F.lit(1)).alias("n_rows"), late.alias("n_late"))
         total = seen.unionByName(new).groupBy(*KEYS).agg(
