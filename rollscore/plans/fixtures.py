@@ -34,9 +34,11 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def task_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tasks with the helper columns the fixtures are built from."""
-    o = spread(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"])
+def task_parts(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
+    """Tasks with the helper columns the fixtures are built from; ``ranges`` lays them out in so many partitions of
+    ascending ``task_id`` (and so of ascending ``step``)."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = o.repartitionByRange(ranges, "o_orderkey") if ranges else spread(o, ["o_orderkey"])
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     df = o.select(
         k.alias("task_id"),
@@ -98,9 +100,9 @@ def _e() -> Column:
     return F.concat(_s(F.col("n1")), F.lit(" + "), _s(F.col("n2")), F.lit(" - "), _s(F.col("n3")), F.col("tail"))
 
 
-def rollout_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rollout_parts(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
     """Rollouts with task helper columns (P10 expansion: G adjacent slots)."""
-    t = task_parts(spark, sf_dir)
+    t = task_parts(spark, sf_dir, ranges)
     r = t.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(GROUP_SIZE - 1).cast("bigint"))).alias("slot"))
     kind = _kind(F.col("slot"))
     e = _e()
@@ -116,9 +118,9 @@ def rollout_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROLLOUT_COLUMNS = ["run_id", "step", "task_id", "prompt_ord", "slot", "response", "output_tokens"]
 
 
-def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rollouts(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
     """``rollouts(run_id, step, task_id, prompt_ord, slot, response, output_tokens)``."""
-    return rollout_parts(spark, sf_dir).select(*ROLLOUT_COLUMNS)
+    return rollout_parts(spark, sf_dir, ranges).select(*ROLLOUT_COLUMNS)
 
 
 def rollouts_with_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered streaming queries: the driver collects batch DataFrames, so
-each query replays the derived rollouts (one folder per step) through the
-stream, runs it to completion and returns the sink table. The stream result
+each query replays the derived rollouts (files of ascending steps) through
+the stream, runs it to completion and returns the sink table. The stream result
 must equal the batch result, so the batch oracles apply unchanged."""
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions._util import report_double
 from ..streaming import scoring as ST
-from ..streaming.manifest import BestManifest, track_best
-from ..streaming.replay import land_batches, landed, with_closing_row
+from ..streaming.manifest import ARRIVAL, BestManifest, track_best
+from ..streaming.replay import land_batches, land_partitions, landed, with_closing_row
 from . import fixtures as FX
 from .q_metrics import _HIST
 from .q_scoring import ROLL_KEYS, _RK, _rewarded_sql
@@ -21,11 +21,18 @@ from .oracle import rd
 from .registry import ORACLES, register
 
 
+# Micro-batches of a replay. Each one reads the static tasks (or the stored result) again and has fixed costs, so their
+# number does not grow with the table; the files of one do, so that it is spread over the cluster.
+_DELIVERIES = 8
+_TASKS_PER_FILE = 1 << 15
+
+
 def _replayed_rollouts(spark: SparkSession, sf: str, work: str) -> DataFrame:
     src = os.path.join(work, "rollouts")
-    ST.replay_files(FX.rollouts(spark, sf), src, by="step")
-    schema = FX.rollouts(spark, sf).schema
-    return ST.file_stream(spark, src, schema)
+    per_delivery = max(8, -(-FX.read_table(spark, sf, "orders").count() // (_DELIVERIES * _TASKS_PER_FILE)))
+    rows = FX.rollouts(spark, sf, ranges=_DELIVERIES * per_delivery)
+    ST.replay_files(rows, src, by="step")
+    return ST.file_stream(spark, src, rows.schema, max_files_per_trigger=per_delivery)
 
 
 def _stream_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,27 +65,28 @@ register("stream_step_metrics", _rewarded_sql("hybrid",
 _ARRIVAL_STEPS = 2000
 
 
-def _tracked(spark: SparkSession, sf: str, arrival: Column, files: int) -> BestManifest:
+def _tracked(spark: SparkSession, sf: str, arrival: Column) -> BestManifest:
+    """The history in order of arrival; a file, and so a micro-batch, holds the arrivals of a range."""
     work = ST.scratch_dir(spark, "stream-best")
     src = os.path.join(work, "history")
-    hist = FX.metric_history(spark, sf)
-    land_batches(hist, src, arrival)
+    hist = FX.metric_history(spark, sf).withColumn(ARRIVAL, arrival.cast("bigint"))
+    land_partitions(hist.repartitionByRange(_DELIVERIES, ARRIVAL), src)
     manifest = BestManifest(spark, os.path.join(work, "manifest"), init=0.0, chunk_steps=1000)
-    track_best(ST.file_stream(spark, src, hist.schema, max_files_per_trigger=files), manifest, "replay", os.path.join(work, "chk"))
+    track_best(ST.file_stream(spark, src, hist.schema, max_files_per_trigger=1), manifest, "replay", os.path.join(work, "chk"))
     return manifest
 
 
 register("stream_best", _HIST +
          f"SELECT run_id, category, step, {rd('score')} AS score FROM w WHERE score > greatest(coalesce(prev, 0.0), 0.0)")(
-    lambda spark, sf: _tracked(spark, sf, F.expr(f"step div {_ARRIVAL_STEPS}"), 1).bests().select(
+    lambda spark, sf: _tracked(spark, sf, F.expr(f"step div {_ARRIVAL_STEPS}")).bests().select(
         "run_id", "category", "step", report_double(F.col("score")).alias("score"))
 )
 
 
 def _stream_best_late(spark: SparkSession, sf: str) -> DataFrame:
-    """Every eleventh evaluation arrives two batches late: the manifest ends as the batch result all the same."""
+    """Every eleventh evaluation arrives two arrivals late: the manifest ends as the batch result all the same."""
     late = F.when(F.col("step") % 11 == 0, 2).otherwise(0)
-    manifest = _tracked(spark, sf, F.expr(f"step div {_ARRIVAL_STEPS}") + late, 1)
+    manifest = _tracked(spark, sf, F.expr(f"step div {_ARRIVAL_STEPS}") + late)
     best = manifest.bests().groupBy("run_id", "category").agg(
         F.max(F.struct("score", (-F.col("step")).alias("s"))).alias("m"), F.count(F.lit(1)).alias("n_bests"))
     return manifest.seen().join(best, ["run_id", "category"], "left").select(

@@ -23,13 +23,15 @@ from pyspark.sql import types as T
 
 from ..operators.scoring import attach_tasks, score
 from ..session import scratch_dir  # noqa: F401  (kept here for callers)
+from .replay import land_partitions
 
 
-def replay_files(df: DataFrame, path: str, by: str = "step") -> None:
-    """Write a table as one folder per ``by`` value (the column stays in the
-    files too), the shape a generator dropping one file per step produces."""
-    folder = f"{by}_folder"
-    df.withColumn(folder, F.col(by)).repartition(folder).write.mode("overwrite").partitionBy(folder).parquet(path)
+def replay_files(df: DataFrame, path: str, by: str = "step", files: int | None = None) -> None:
+    """Write a table as files of ascending ``by``, the order in which a generator
+    delivers steps. A file holds a range of values, each of them whole, so the
+    number of files is ``files`` however many steps there are. Without ``files``
+    the table's partitions are such ranges already."""
+    land_partitions(df.repartitionByRange(files, by) if files else df, path)
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = 64) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollscore.operators import metrics as M
 from rollscore.streaming import scoring as ST
 from rollscore.streaming.manifest import BestManifest, track_best
+from rollscore.plans import fixtures as FX
 from rollscore.streaming.replay import land_batches, with_closing_row
 
 COLUMNS = "run_id long, category string, step long, score double"
@@ -102,3 +103,38 @@ def test_closing_row_emits_every_window(spark):
 def test_closing_row_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "run_id long, ts timestamp, batch int")
     assert with_closing_row(empty, "ts", "batch", "'1 day'").count() == 0
+
+
+def test_late_rows_do_not_depend_on_how_arrivals_are_batched(spark):
+    hist = rows(spark).withColumn("arrival", F.expr("step div 20 + if(step % 11 = 0, 2, 0)"))
+    root = ST.scratch_dir(spark, "best")
+    one, some = BestManifest(spark, os.path.join(root, "one")), BestManifest(spark, os.path.join(root, "some"))
+    last = hist.agg(F.max("arrival")).first()[0]
+    for number in range(last + 1):
+        one.merge(hist.where(F.col("arrival") == number).drop("arrival"), "s", number)
+    for number in range(0, last + 1, 8):
+        some.merge(hist.where(F.col("arrival").between(number, number + 7)), "s", number)
+    assert sorted(map(tuple, some.seen().collect())) == sorted(map(tuple, one.seen().collect()))
+    assert some.seen().agg(F.sum("n_late")).first()[0] > 0
+    assert as_set(some.bests()) == as_set(one.bests()) == as_set(M.new_bests(hist))
+
+
+def test_files_of_a_replay_do_not_grow_with_its_steps(spark):
+    table = spark.range(3000).select(F.col("id").alias("step"), (F.col("id") % 7).alias("v"))
+    src = os.path.join(ST.scratch_dir(spark, "replay"), "src")
+    ST.replay_files(table, src, by="step", files=5)
+    files = sorted((os.path.getmtime(os.path.join(src, f)), f) for f in os.listdir(src) if f.endswith(".parquet"))
+    assert len(files) == 5
+    spans = [spark.read.parquet(os.path.join(src, f)).agg(F.min("step"), F.max("step")).first() for _, f in files]
+    assert spans[0][0] == 0 and spans[-1][1] == 2999 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    out = os.path.join(src, "..", "out")
+    ST.run_append(ST.file_stream(spark, src, table.schema, 2), out, os.path.join(src, "..", "chk"))
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_laid_out_rollouts_are_the_same_rows_by_step(spark):
+    sf = "/root/testdata/sf0.001"
+    laid = FX.rollouts(spark, sf, ranges=6)
+    assert sorted(map(tuple, laid.collect())) == sorted(map(tuple, FX.rollouts(spark, sf).collect()))
+    spans = laid.groupBy(F.spark_partition_id().alias("p")).agg(F.min("step").alias("a"), F.max("step").alias("b")).orderBy("p").collect()
+    assert len(spans) == 6 and all(x.b <= y.a for x, y in zip(spans, spans[1:]))
