@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import losses as L
-from .groupstats import with_group_stats
 
 STEP_KEYS = ("run_id", "step")
 LOSS_TYPES = ("grpo", "dr_grpo")
@@ -94,14 +93,23 @@ def array_moments(values: Column) -> Column:
                     F.array_min(kept).alias("min"), F.array_max(kept).alias("max"))
 
 
-def merge_moments(rows: DataFrame, keys: Sequence[str], name: str) -> dict[str, Column]:
-    """Aggregates that merge the moments of column ``name`` per group by Chan's formula; ``rows`` carry the group's
-    mean as ``__mean_<name>`` (see ``with_group_stats``)."""
-    m, n = F.col(name), F.sum(F.col(f"{name}.n"))
-    apart = F.pow(m["mean"] - F.col(f"__mean_{name}"), F.lit(2.0))
-    total = F.sum(m["m2"] + m["n"] * apart)
-    mean = F.try_divide(F.sum(m["n"] * m["mean"]), n)
-    return {"n": n, "mean": mean, "std": F.when(n > 1, F.sqrt(total / (n - 1))), "min": F.min(m["min"]), "max": F.max(m["max"])}
+def merge_moments(rows: DataFrame, keys: Sequence[str], ratio: str = "ratio", log: str = "log") -> DataFrame:
+    """The moments of rows merged per group by Chan's formula, in one pass over the rows: rows of one length weigh the
+    same, so Spark's own moments of their means are exact weights of the merge; the few lengths of a group (never more
+    than the longest row) then meet in a window. Columns: n, mean, std, min, max and log_mean, log_max."""
+    m, g = F.col(ratio), F.col(log)
+    by_length = rows.groupBy(*keys, m["n"].alias("__length")).agg(
+        (F.count(F.lit(1)) * F.col("__length")).alias("__n"), F.avg(m["mean"]).alias("__mean"),
+        (F.sum(m["m2"]) + F.col("__length") * F.count(F.lit(1)) * F.var_pop(m["mean"])).alias("__m2"),
+        F.min(m["min"]).alias("__min"), F.max(m["max"]).alias("__max"),
+        F.avg(g["mean"]).alias("__log"), F.max(g["max"]).alias("__log_max"))
+    n, w = F.col("__n"), Window.partitionBy(*keys)
+    centred = by_length.withColumn("__all", F.sum(n * F.col("__mean")).over(w) / F.sum(n).over(w))
+    total = F.sum(F.col("__m2") + n * F.pow(F.col("__mean") - F.col("__all"), F.lit(2.0)))
+    return centred.groupBy(*keys).agg(
+        F.sum(n).alias("n"), F.max("__all").alias("mean"), F.when(F.sum(n) > 1, F.sqrt(total / (F.sum(n) - 1))).alias("std"),
+        F.min("__min").alias("min"), F.max("__max").alias("max"),
+        (F.sum(n * F.col("__log")) / F.sum(n)).alias("log_mean"), F.max("__log_max").alias("log_max"))
 
 
 def ratio_stats(
@@ -116,8 +124,8 @@ def ratio_stats(
     all positions (``mask`` restricts to masked positions). Groups without
     any position are left out.
 
-    Each row keeps the moments of its own positions; the group's mean comes
-    from one partial aggregation, the merged deviations from a second one."""
+    Each row keeps the moments of its own positions; they are merged per
+    group without reading the rows again."""
     clamp = L.LOG_RATIO_CLAMP if clamp_log_ratio else None
     lr = L.log_ratio(F.col(policy_lp), F.col(old_lp), clamp)
     if mask:
@@ -126,15 +134,9 @@ def ratio_stats(
     rows = df.select(*keys, lr.alias("lr")).select(
         *keys, array_moments(F.transform("lr", lambda x: F.exp(x))).alias("ratio"), array_moments(F.col("lr")).alias("log"))
     rows = rows.where(F.col("ratio.n") > 0)
-    mean = {"__mean_ratio": F.sum(F.col("ratio.n") * F.col("ratio.mean")) / F.sum("ratio.n")}
-    rows = with_group_stats(rows, keys, mean)
-    ratio = merge_moments(rows, keys, "ratio")
-    log_mean = F.sum(F.col("log.n") * F.col("log.mean")) / F.sum("log.n")
-    return rows.groupBy(*keys).agg(
-        ratio["mean"].alias("ratio_mean"), ratio["std"].alias("ratio_std"),
-        ratio["min"].alias("ratio_min"), ratio["max"].alias("ratio_max"),
-        log_mean.alias("log_ratio_mean"), F.max("log.max").alias("log_ratio_max"),
-    )
+    out = merge_moments(rows, keys)
+    return out.select(*keys, F.col("mean").alias("ratio_mean"), F.col("std").alias("ratio_std"), F.col("min").alias("ratio_min"),
+                      F.col("max").alias("ratio_max"), F.col("log_mean").alias("log_ratio_mean"), F.col("log_max").alias("log_ratio_max"))
 
 
 def kl_per_step(seqs: DataFrame, keys: Sequence[str] = STEP_KEYS) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from rollscore.functions.equation import with_equation_result
+from rollscore.operators import losses as LO
 
 
 def test_rows_without_equation_are_dealt_over_the_tasks(spark):
@@ -23,3 +24,13 @@ def test_rows_without_equation_are_dealt_over_the_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_ratio_statistics_read_their_rows_once(spark):
+    df = spark.createDataFrame([(1, [1.0], [0.5]), (1, [2.0, 3.0], [1.0, 1.0]), (2, [1.0, None], [1.0, 1.0])],
+                               "k int, p array<double>, o array<double>")
+    stats = LO.ratio_stats(df, "p", "o", ["k"])
+    assert "Join" not in stats._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.k: r for r in stats.collect()}
+    assert abs(got[1].log_ratio_mean - 3.5 / 3) < 1e-12 and got[1].log_ratio_max == 2.0
+    assert got[2].ratio_mean == 1.0 and got[2].ratio_std is None
