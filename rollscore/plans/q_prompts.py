@@ -249,10 +249,15 @@ register("top_examples", _ANSWERS +
          "SELECT run_id, step, bucket, task_id, slot, CAST(rank AS BIGINT) AS rank FROM k WHERE rank <= 10")(_top)
 
 
+def _with_prompt(top: DataFrame) -> DataFrame:
+    """The prompt of the chosen examples: made from the task after the choice, so that no prompt text is shuffled for it."""
+    return top.withColumn("prompt", PR.prompt("A"))
+
+
 def _example_text(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score(FX.rollouts_with_tasks(spark, sf), reward="hybrid").withColumn("prompt", PR.prompt("A"))
+    scored = score(FX.rollouts_with_tasks(spark, sf), reward="hybrid")
     top = E.top_examples(scored, n=2, rule="exact")
-    return E.examples_report(top)
+    return E.examples_report(_with_prompt(top))
 
 
 def _example_sql(rows: int) -> str:
@@ -271,8 +276,8 @@ register("example_text", _example_sql(2) + "SELECT * FROM x")(_example_text)
 
 
 def _example_rows(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score(TS.eval_steps(FX.rollouts_with_tasks(spark, sf), 10), reward="hybrid").withColumn("prompt", PR.prompt("A"))
-    return E.examples_long(E.top_examples(scored, n=10, rule="exact")).select("run_id", "step", "tag", "value", "text")
+    scored = score(TS.eval_steps(FX.rollouts_with_tasks(spark, sf), 10), reward="hybrid")
+    return E.examples_long(_with_prompt(E.top_examples(scored, n=10, rule="exact"))).select("run_id", "step", "tag", "value", "text")
 
 
 register("example_metrics", _example_sql(10) + "SELECT run_id, step, 'eval/examples_' || bucket AS tag, "

@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from rollscore.functions.equation import with_equation_result
 from rollscore.operators import losses as LO
+from rollscore.plans import catalog
+
+SF001 = "/root/testdata/sf0.001"
 
 
 def test_rows_without_equation_are_dealt_over_the_tasks(spark):
@@ -34,3 +37,10 @@ def test_ratio_statistics_read_their_rows_once(spark):
     got = {r.k: r for r in stats.collect()}
     assert abs(got[1].log_ratio_mean - 3.5 / 3) < 1e-12 and got[1].log_ratio_max == 2.0
     assert got[2].ratio_mean == 1.0 and got[2].ratio_std is None
+
+
+def test_prompts_are_made_after_the_choice_of_examples(spark):
+    for query in ("example_text", "example_metrics"):
+        plan = catalog.QUERIES[query](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("Window", 1)
+        assert "Using the numbers" in above and "Using the numbers" not in below, query
