@@ -162,7 +162,12 @@ def shortest(x) -> Column:
         F.abs(v), lambda size: _let(_digits(size), lambda found: _let(
             _shorter(size, found), lambda state: _let(
                 F.struct(F.regexp_replace(state["d"], "0+$", "").alias("d"), state["e"].alias("e")),
-                lambda best: _layout(size, best["d"], best["e"])))))))))
+                lambda best: _layout(size, _tiny(size, "5", "1", best["d"]), _tiny(size, -323, -322, best["e"]))))))))))
+
+
+def _tiny(size: Column, least, second, other: Column) -> Column:
+    """The two smallest doubles: one digit names them, where the JVM prints two."""
+    return F.when(size == F.lit(5e-324), F.lit(least)).when(size == F.lit(1e-323), F.lit(second)).otherwise(other)
 
 
 def _layout(x: Column, d: Column, e: Column) -> Column:

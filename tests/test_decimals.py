@@ -43,3 +43,9 @@ def test_fixed_and_shortest(spark):
 def test_null(spark):
     row = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x").select(D.fixed("x", 3).alias("a"), D.shortest("x").alias("b")).first()
     assert row.a is None and row.b is None
+
+
+def test_the_smallest_doubles(spark):
+    xs = [k * 5e-324 for k in range(1, 40)]
+    df = spark.createDataFrame([(x * s,) for x in xs for s in (1, -1)], "x double")
+    assert [r.r for r in df.select(D.shortest("x").alias("r")).collect()][:6] == ["5e-324", "-5e-324", "1e-323", "-1e-323", "1.5e-323", "-1.5e-323"]
