@@ -65,17 +65,17 @@ def stage_answers(
     Columns nobody reads later (``n_words`` for most rules) are pruned by
     Catalyst, so staging everything costs nothing.
     """
-    staged = df.withColumn("equation", X.extract_answer(F.col(text)))
+    staged = df.withColumn("equation", X.extract_answer(F.col(text))).withColumn("__nums", N.task_numbers(nums))
     staged = staged.withColumn("__found", N.found_numbers(F.col("equation")))
     staged = with_equation_result(staged, "equation", "result", eval_strategy)
     return (
-        staged.withColumn("numbers_ok", N.numbers_match(F.col("__found"), F.col(nums)))
-        .withColumn("n_matched", N.matched_count(F.col("__found"), F.col(nums)).cast("bigint"))
+        staged.withColumn("numbers_ok", N.numbers_match(F.col("__found"), F.col("__nums")))
+        .withColumn("n_matched", N.matched_count(F.col("__found"), F.col("__nums")).cast("bigint"))
         .withColumn("n_nums", F.size(F.col(nums)).cast("bigint"))
         .withColumn("distance", N.distance(F.col("result"), F.col(target)))
         .withColumn("has_think", X.has_think_tags(F.col(text)))
         .withColumn("n_words", X.word_count(F.col(text)).cast("bigint"))
-        .drop("__found")
+        .drop("__found", "__nums")
     )
 
 
