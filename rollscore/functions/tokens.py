@@ -20,6 +20,13 @@ def concat_tokens(prompt_ids, output_ids) -> Column:
     return F.concat(as_col(prompt_ids), as_col(output_ids))
 
 
+def token_count(prompt_ids, output_ids) -> Column:
+    """The size of T1's tokens, from the sizes of its parts."""
+    p, o = as_col(prompt_ids), as_col(output_ids)
+    missing = F.size(F.lit(None).cast("array<int>"))
+    return F.when(p.isNull() | o.isNull(), missing).otherwise(F.size(p) + F.size(o))
+
+
 def shift_inputs(tokens) -> Column:
     """``tokens[:-1]``."""
     t = as_col(tokens)
@@ -50,10 +57,14 @@ def response_mask(prompt_len, seq_len, width) -> Column:
     """T4: True on positions ``[prompt_len - 1, seq_len - 1)`` of a row of
     ``width`` positions; all False when that range is empty."""
     p, n, w = lit_or_col(prompt_len), lit_or_col(seq_len), lit_or_col(width)
-    return F.transform(
-        F.array_repeat(F.lit(False), F.greatest(w, F.lit(0))),
-        lambda _, i: (i >= p - 1) & (i < n - 1),
-    )
+    width_ = F.greatest(w, F.lit(0))
+    start = F.least(F.greatest(p - 1, F.lit(0)), width_)
+    end = F.least(F.greatest(n - 1, start), width_)
+    runs = F.concat(F.array_repeat(F.lit(False), start), F.array_repeat(F.lit(True), end - start),
+                    F.array_repeat(F.lit(False), width_ - end))
+    # A length that is NULL leaves the positions it decides NULL.
+    each = F.transform(F.array_repeat(F.lit(False), width_), lambda _, i: (i >= p - 1) & (i < n - 1))
+    return F.when(p.isNull() | n.isNull(), each).otherwise(runs)
 
 
 def attention_mask(n_real, width) -> Column:
@@ -80,9 +91,9 @@ def count_ignored(labels, ignore: int = IGNORE_INDEX) -> Column:
 
 def ids_text(ids, sep: str = ",") -> Column:
     """Render an id array as text (reports, comparisons)."""
-    return F.array_join(F.transform(as_col(ids), lambda x: x.cast("string")), sep)
+    return F.array_join(as_col(ids).cast("array<string>"), sep)
 
 
 def mask_text(mask) -> Column:
     """Render a boolean mask as a string of 0/1."""
-    return F.array_join(F.transform(as_col(mask), lambda b: F.when(b, "1").otherwise("0")), "")
+    return F.array_join(as_col(mask).cast("array<int>").cast("array<string>"), "", "0")

@@ -28,11 +28,12 @@ def token_batch(
 ) -> DataFrame:
     """Adds ``prompt_len``, ``seq_len``, ``width``, ``input_ids``, ``labels``,
     ``response_mask`` (all rows of a batch share ``width = max seq_len - 1``)."""
-    tokens = TK.concat_tokens(F.col(prompt_ids), F.col(output_ids))
-    with_len = df.withColumn("__tokens", tokens).select(
-        "*", F.size(F.col(prompt_ids)).alias("prompt_len"), F.size("__tokens").alias("seq_len")
+    with_len = df.select(
+        "*", F.size(F.col(prompt_ids)).alias("prompt_len"), TK.token_count(prompt_ids, output_ids).alias("seq_len")
     )
     batched = with_group_stats(with_len, batch_keys, {"width": F.max("seq_len") - 1})
+    # Joined ids are made after the join, so that they are no second copy of the ids in its shuffle.
+    batched = batched.withColumn("__tokens", TK.concat_tokens(F.col(prompt_ids), F.col(output_ids)))
     w = F.greatest(F.col("width"), F.lit(0))
     return batched.select(
         *[c for c in batched.columns if c != "__tokens"],

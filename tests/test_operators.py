@@ -15,6 +15,7 @@ from rollscore.functions import tokens as TK
 from rollscore.operators import advantages as A
 from rollscore.operators import metrics as M
 from rollscore.operators import tasks as TS
+from rollscore.operators import tokens as TO
 from rollscore.operators.scoring import score, score_all
 from rollscore.plans import catalog
 from rollscore.plans import fixtures as FX
@@ -306,3 +307,23 @@ def test_configured_settings_win_over_defaults(running):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", SESSION.format(running=running)], env=env, cwd=root, capture_output=True, text=True, timeout=120)
     assert "['Asia/Tokyo', '3', 'true']" in out.stdout, out.stderr[-2000:]
+
+
+def test_token_lengths_of_missing_ids(spark):
+    rows = [(1, 1, [1, 2], [3]), (1, 1, None, [4, 5, 6, 7]), (1, 2, [8], None), (1, 2, [], [9, 10])]
+    df = spark.createDataFrame(rows, "run_id int, step int, prompt_ids array<int>, output_ids array<int>")
+    want = df.select("*", F.size(F.concat("prompt_ids", "output_ids")).alias("want"))
+    batch = TO.token_batch(want, eos_id=0)
+    assert batch.where("NOT seq_len <=> want").count() == 0 and batch.count() == 4
+    plan = _plan(TO.token_batch(df, eos_id=0).select("step", "response_mask"))
+    assert "concat(prompt_ids" not in plan
+
+
+def test_mask_by_runs(spark):
+    lengths = [(p, n, w) for p in (None, 0, 1, 3, 7) for n in (None, 0, 1, 2, 5, 9) for w in (0, 1, 4, 8)]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(lengths)], "i int, p int, n int, w int")
+    each = F.transform(F.array_repeat(F.lit(False), F.col("w")), lambda _, i: (i >= F.col("p") - 1) & (i < F.col("n") - 1))
+    text = F.array_join(F.transform("each", lambda b: F.when(b, "1").otherwise("0")), "")
+    got = df.select("*", TK.response_mask(F.col("p"), F.col("n"), F.col("w")).alias("m"), each.alias("each"))
+    got = got.select("*", TK.mask_text("m").alias("t"), text.alias("want"))
+    assert got.where("m <=> each AND t <=> want").count() == len(lengths)
