@@ -56,6 +56,7 @@ def training_step_job(
     max_completion_length: int = 256,
     eval_every: int = 10,
     buckets: int = 64,
+    bucket_rows: int = 1 << 18,
     grad_norm: DataFrame | None = None,
     batch: int = 0,
 ) -> dict[str, str]:
@@ -63,8 +64,9 @@ def training_step_job(
 
     Rollouts without a task, and groups of another size than ``group_size``,
     raise after the table that shows them has been written; they are counted
-    in that write. ``buckets`` is the layout of token arrays and advantages
-    (choose it by the size of the arrays). ``batch`` names the rows of the
+    in that write. Token arrays and advantages are laid out in ``buckets``
+    buckets, or in more where those would hold over ``bucket_rows`` rollouts
+    each (choose both by the size of the arrays). ``batch`` names the rows of the
     metrics table that this run replaces.
 
     ``rollouts`` needs ``run_id, step, task_id, prompt_ord, slot, response,
@@ -77,7 +79,8 @@ def training_step_job(
     joined, matched = attach_tasks_observed(rollouts, tasks)
     scored = score(joined, reward=reward, scale=scale).drop(*arrays)
     scored.write.mode("overwrite").partitionBy("run_id").parquet(paths["scored"])
-    require(matched, n_unmatched=0)
+    n_rollouts = require(matched, n_unmatched=0)["n_rollouts"]
+    buckets = max(buckets, -(-n_rollouts // bucket_rows))
     scored_t = spark.read.schema(scored.schema).parquet(paths["scored"])
 
     with ST.bucket_names(spark, "tokens", "advantages") as (tokens_name, adv_name):

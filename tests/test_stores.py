@@ -96,6 +96,16 @@ def test_training_step_reports_unmatched_and_ragged_rows(spark):
     assert {"train/loss", "eval/accuracy", "eval/best_accuracy", "eval/examples_correct"} <= tags
 
 
+def test_training_step_buckets_grow_with_the_rollouts(spark):
+    rollouts, tasks = FX.logprob_rollouts(spark, SF001), FX.tasks(spark, SF001)
+    few = J.training_step_job(spark, rollouts, tasks, scratch_dir(spark, "job"), buckets=2)
+    many = J.training_step_job(spark, rollouts, tasks, scratch_dir(spark, "job"), buckets=2, bucket_rows=1 + rollouts.count() // 12)
+    files = {p: [len(spark.read.parquet(job[p]).inputFiles()) for job in (few, many)] for p in ("tokens", "advantages")}
+    assert files == {"tokens": [2, 12], "advantages": [2, 12]}
+    a, b = (spark.read.parquet(job["step_metrics"]).select("run_id", "step", F.round("loss", 9)) for job in (few, many))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
 def test_counters_of_a_clean_join(spark):
     joined, seen = attach_tasks_observed(FX.rollouts(spark, SF001), FX.tasks(spark, SF001))
     n = joined.count()
