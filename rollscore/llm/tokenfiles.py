@@ -21,7 +21,7 @@ Defined cases
 * null text is empty text: only the end id;
 * equal doc_ids stay apart, ordered by text; null doc_ids come first;
 * other columns are ignored; an empty table gives no files and no rows;
-* a text of any length is encoded whole, piece by piece.
+* a text of any length is encoded whole, chunk by chunk.
 """
 
 from __future__ import annotations
@@ -32,9 +32,11 @@ import re
 import struct
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -56,8 +58,8 @@ BY_WORDS = {
     "pre_tokenizer": ["Split", "ByteLevel"],
     "split": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
 }
-#: Texts are split here before encoding; the tokenizer never joins across these.
-BLANKS = " \n\t\r"
+#: Texts are encoded together up to so many bytes; a longer one alone.
+TEXT_BYTES = 1 << 24
 
 
 def tokenizer_file() -> str:
@@ -69,15 +71,17 @@ def tokenizer_file() -> str:
 class Encoder:
     """Ids of whole texts as little-endian uint32 bytes, by a vocabulary that drops blanks.
 
-    Blank-separated chunks are encoded one at a time and remembered. A chunk of
+    The blank-separated chunks of many texts are numbered in Arrow, each different one is
+    encoded once, and the ids are gathered by number. A chunk of
     plain Latin letters, digits and signs is cut into its letter runs, digits
     and sign runs, as the tokenizer's own pattern does, and each is looked up in
-    the vocabulary model; every other chunk goes through the whole tokenizer.
+    the vocabulary model; every other chunk goes through the whole tokenizer. Both are remembered.
     """
 
-    #: Printable ASCII without the apostrophe (contractions), and the letters of Latin-1.
-    PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
-    PIECES = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    #: Printable ASCII and the letters of Latin-1.
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    #: The pattern of ``BY_WORDS`` for lower-case plain chunks.
+    PIECES = re.compile("'(?:[stmd]|re|ve|ll)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -91,23 +95,59 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.spelling = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.chunks, self.pieces = _Memo(self._chunk), _Memo(self._piece)
+        #: A chunk without the first character of any special holds no special.
+        self.firsts = re.compile("[" + re.escape("".join({s[0] for s in self.specials})) + "]") if self.specials else None
+        self.pieces, self.others = _Memo(self._piece), _Memo(self._other)
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece if piece.isascii() else "".join(self.spelling[b] for b in piece.encode())
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        spelled = piece if piece.isascii() else "".join([self.spelling[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _chunk(self, chunk: str) -> bytes:
-        if self.PLAIN.fullmatch(chunk) and not any(s in chunk for s in self.specials):
-            return b"".join(map(self.pieces.__getitem__, self.PIECES.findall(chunk.lower())))
+    def _other(self, chunk: str) -> bytes:
         return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
+    def _chunk(self, chunk: str) -> bytes:
+        if not self.PLAIN.fullmatch(chunk) or self.firsts and self.firsts.search(chunk):
+            return self.others[chunk]
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return self.pieces[chunk]
+        return b"".join(map(self.pieces.__getitem__, self.PIECES.findall(chunk)))
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, null being empty."""
+        texts = pc.fill_null(texts, "")
         if not self.by_words:
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        for blank in BLANKS[1:]:
-            text = text.replace(blank, " ")
-        return b"".join(map(self.chunks.__getitem__, filter(None, text.split(" "))))
+            for text in texts:
+                yield self._other(text.as_py())
+            return
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            most = (sizes[at - 1] if at else 0) + TEXT_BYTES
+            stop = max(at + 1, int(np.searchsorted(sizes, most, "right")))
+            yield from self._encoded(texts.slice(at, stop - at))
+            at = stop
+
+    def _encoded(self, texts: pa.Array) -> Iterator[bytes]:
+        chunks = pc.ascii_split_whitespace(texts)
+        coded = chunks.flatten().dictionary_encode()
+        ids = [self._chunk(c) for c in _strings(coded.dictionary)]
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+        pool = pa.LargeListArray.from_arrays(ends, np.frombuffer(b"".join(ids), "<u4"))
+        found = pool.take(coded.indices)
+        data = memoryview(found.flatten().to_numpy().tobytes())
+        counts = np.concatenate([[0], np.cumsum(pc.list_value_length(chunks).to_numpy())])
+        edges = 4 * (found.offsets.to_numpy() - found.offsets[0].as_py())[counts]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            yield bytes(data[a:b])
+
+
+def _strings(chunks: pa.Array) -> list[str]:
+    """The chunks, which hold no blanks."""
+    whole = pa.LargeListArray.from_arrays([0, len(chunks)], chunks.cast(pa.large_string()))
+    return pc.binary_join(whole, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ") if len(chunks) else []
 
 
 def _encodes_by_words(parts: dict) -> bool:
@@ -255,11 +295,11 @@ def _write(folder: str, tokenizer: str, end_id: int, kind: int, block_ids: int):
         docs = ids = 0
         for batch in batches:
             column = batch.column("doc_id")
-            for i, text in enumerate(batch.column("text")):
+            for i, found in enumerate(encoder.encode(batch.column("text"))):
                 if writer is None:
                     out = fs.open_output_stream(draft)
                     writer = FileWriter(out, column.type, kind, block_ids)
-                data = encoder.encode(text.as_py() or "") + end
+                data = found + end
                 writer.add(column[i].as_py(), data)
                 docs, ids = docs + 1, ids + len(data) // 4
         if writer is not None:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -49,3 +50,16 @@ def test_empty_table(spark):
 def test_planes_round_trip(kind, n):
     ids = np.random.default_rng(n).integers(0, 1 << 32, n, dtype=np.uint32)
     assert (tokenfiles.from_planes(tokenfiles.to_planes(ids, kind), n, kind) == ids).all()
+
+
+def test_chunks_are_numbered_over_many_texts():
+    """A chunk is encoded once for all texts of a batch; contractions and null texts agree with the whole tokenizer."""
+    tok, encoder = Tokenizer.from_file(tokenfiles.tokenizer_file()), tokenfiles.Encoder(tokenfiles.tokenizer_file())
+    texts = ["", None, "can't CAN'T 'tis x''s !'s a's'll", "re\x0bad\x0c it", "a<b <|endoftext|>", "été 3,5", *["same words, same"] * 50]
+    seen, fill = [], encoder._chunk
+    encoder._chunk = lambda chunk: seen.append(chunk) or fill(chunk)
+    got = [list(np.frombuffer(x, "<u4")) for x in encoder.encode(pa.array(texts))]
+    assert got == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(seen) == len(set(seen))
+    assert list(encoder.encode(pa.array([], pa.string()))) == []
+    assert [len(x) for x in encoder.encode(pa.array(["skip this", "", " \n", None, "a"])[1:])] == [0, 0, 0, 4]
