@@ -165,7 +165,8 @@ def shallow_groups(words: np.ndarray, depth: int) -> list[np.ndarray]:
             order = np.lexsort([words[rows, k] for k in range(depth - 1, d - 1, -1)])
             part = words[rows[order], d:depth]
             cuts = np.flatnonzero((part[1:] != part[:-1]).any(axis=1)) + 1
-            out.extend(np.split(rows[order], cuts))
+            rows, cuts = rows[order], cuts.tolist()
+            out.extend(rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)]))
             continue
         pivot = np.partition(column, len(column) // 2)[len(column) // 2]
         for test, deeper in ((column > pivot, 0), (column == pivot, 1), (column < pivot, 0)):
@@ -218,12 +219,19 @@ class BlindTrie:
 
 
 def deep_shallow(suffixes: np.ndarray, length: int) -> list[list[int]]:
-    """Groups of equal rows of a byte matrix, in lexicographic order."""
+    """Groups of equal rows of a byte matrix, in lexicographic order; the rows of a group ascend."""
     padded = np.zeros((len(suffixes), -(-length // 8) * 8), np.uint8)
     padded[:, :length] = suffixes
     words, out = padded.view(">u8").astype(np.uint64), []
-    for rows in shallow_groups(words, min(SHALLOW, words.shape[1])):
-        if len(rows) == 1:
+    if not len(words):
+        return out
+    groups = shallow_groups(words, min(SHALLOW, words.shape[1]))
+    order, sizes = np.concatenate(groups), np.array([len(g) for g in groups])
+    first = np.cumsum(sizes) - sizes
+    same = np.concatenate([[True], (words[order[1:]] == words[order[:-1]]).all(axis=1)])
+    same[first] = True
+    for rows, copies in zip(groups, np.logical_and.reduceat(same, first).tolist()):
+        if copies:  # equal over the whole length: they need no trie
             out.append(rows.tolist())
             continue
         trie = BlindTrie()
@@ -244,15 +252,15 @@ def _sorted_repeats(length: int):
             docs.append(np.full(len(view), doc))
             starts.append(np.arange(len(view)) + at)
             merge.append(np.full(len(view), again))
-        doc, start, merge, strings = (np.concatenate(c) for c in (docs, starts, merge, views))
+        doc, start, merge = (np.concatenate(c) for c in (docs, starts, merge))
+        order = np.lexsort([start, doc])  # the first row of a group is the first occurrence
+        doc, start, merge, strings = doc[order], start[order], merge[order], np.concatenate(views)[order]
         gone, kept = [], []
         for group in deep_shallow(strings, length):
-            first = group[0] if len(group) == 1 else min(group, key=lambda i: (doc[i], start[i]))
-            gone.extend(i for i in group if i != first)
-            if merge[first]:
-                kept.append(first)
-        gone, kept = np.array(gone, np.int64), np.array(kept, np.int64)
-        gone = gone[np.lexsort([start[gone], doc[gone]])]
+            gone.extend(group[1:])
+            if merge[group[0]]:
+                kept.append(group[0])
+        gone, kept = np.sort(np.array(gone, np.int64)), np.array(kept, np.int64)
         d, s = doc[gone], start[gone]
         fresh = np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + length)]) if len(gone) else np.empty(0, bool)
         last = np.concatenate([fresh[1:], [True]]) if len(gone) else fresh

@@ -258,3 +258,20 @@ def test_forest_conditions_equal_trees(spark):
 
 def test_workspace_address(spark):
     assert ":" in Workspace(spark, "test").address("x")
+
+
+def test_copies_need_no_trie(monkeypatch):
+    """Strings that agree over the whole length form their group without a trie; groups ascend, first occurrences come first."""
+    rng = np.random.default_rng(3)
+    different = rng.integers(97, 123, (40, 100), dtype=np.uint8)
+    strings = different[rng.integers(0, 40, 900)]
+    added, add = [], repeats.BlindTrie.add
+    monkeypatch.setattr(repeats.BlindTrie, "add", lambda self, *a: added.append(a) or add(self, *a))
+    groups = repeats.deep_shallow(strings, 100)
+    assert not added and all(g == sorted(g) for g in groups)
+    assert [strings[g[0]].tobytes() for g in groups] == sorted({s.tobytes() for s in strings})
+    strings[::7, 60] += 1  # the same first words, different later
+    groups = repeats.deep_shallow(strings, 100)
+    assert added and all(g == sorted(g) for g in groups)
+    assert [strings[g[0]].tobytes() for g in groups] == sorted({s.tobytes() for s in strings})
+    assert repeats.deep_shallow(strings[:0], 100) == []
