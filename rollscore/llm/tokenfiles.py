@@ -115,7 +115,10 @@ class Encoder:
             return self.pieces[chunk]
         return b"".join(map(self.pieces.__getitem__, self.PIECES.findall(chunk)))
 
-    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all(pa.array([text])))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, null being empty."""
         texts = pc.fill_null(texts, "")
         if not self.by_words:
@@ -295,7 +298,7 @@ def _write(folder: str, tokenizer: str, end_id: int, kind: int, block_ids: int):
         docs = ids = 0
         for batch in batches:
             column = batch.column("doc_id")
-            for i, found in enumerate(encoder.encode(batch.column("text"))):
+            for i, found in enumerate(encoder.encode_all(batch.column("text"))):
                 if writer is None:
                     out = fs.open_output_stream(draft)
                     writer = FileWriter(out, column.type, kind, block_ids)

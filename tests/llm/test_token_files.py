@@ -58,8 +58,8 @@ def test_chunks_are_numbered_over_many_texts():
     texts = ["", None, "can't CAN'T 'tis x''s !'s a's'll", "re\x0bad\x0c it", "a<b <|endoftext|>", "été 3,5", *["same words, same"] * 50]
     seen, fill = [], encoder._chunk
     encoder._chunk = lambda chunk: seen.append(chunk) or fill(chunk)
-    got = [list(np.frombuffer(x, "<u4")) for x in encoder.encode(pa.array(texts))]
+    got = [list(np.frombuffer(x, "<u4")) for x in encoder.encode_all(pa.array(texts))]
     assert got == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert len(seen) == len(set(seen))
-    assert list(encoder.encode(pa.array([], pa.string()))) == []
-    assert [len(x) for x in encoder.encode(pa.array(["skip this", "", " \n", None, "a"])[1:])] == [0, 0, 0, 4]
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    assert [len(x) for x in encoder.encode_all(pa.array(["skip this", "", " \n", None, "a"])[1:])] == [0, 0, 0, 4]
