@@ -39,9 +39,13 @@ def attach_tasks_observed(rollouts: DataFrame, tasks: DataFrame, keys=("task_id"
     return counted.where(F.col("__task")).drop("__task"), seen
 
 
-def require(observed: Observation, **limits: int) -> dict[str, int]:
-    """Raise when a counter of an observation exceeds its limit; returns all counters. Call it after the action."""
-    counts = {k: v or 0 for k, v in observed.get.items()}
+def require(*observed: Observation, **limits: int) -> dict[str, int]:
+    """Raise when a counter, summed over the observations, exceeds its limit; returns all counters. Call it after the
+    actions."""
+    counts = dict.fromkeys(limits, 0)
+    for seen in observed:
+        for k, v in seen.get.items():
+            counts[k] = counts.get(k, 0) + (v or 0)
     over = {k: counts[k] for k, most in limits.items() if counts[k] > most}
     if over:
         raise ValueError(f"data quality: {over} (limits {limits}), counters {counts}")

@@ -33,10 +33,13 @@ from ..operators import metrics as M
 from ..operators import tasks as TS
 from ..operators import tokens as TO
 from ..operators.scoring import attach_tasks, attach_tasks_observed, require, score
+from ..session import FREE_SHUFFLES, settings
 from ..sources import sinks as SK
 from ..sources import stores as ST
 
 ROW_KEYS = ["run_id", "step", "task_id", "slot"]
+# Tables bucketed by some of the join's keys are joined as they lie; a group never holds more than its G rows.
+AS_THEY_LIE = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
 
 def training_step_job(
@@ -59,16 +62,22 @@ def training_step_job(
     bucket_rows: int = 1 << 18,
     grad_norm: DataFrame | None = None,
     batch: int = 0,
+    wave_rows: int = 1 << 26,
 ) -> dict[str, str]:
     """Score, normalise and reduce a table of rollouts; returns table paths.
 
     Rollouts without a task, and groups of another size than ``group_size``,
     raise after the table that shows them has been written; they are counted
-    in that write. Token arrays and advantages are laid out in ``buckets``
+    in that write. Token arrays and advantages are laid out by group in ``buckets``
     buckets, or in more where those would hold over ``bucket_rows`` rollouts
     each (choose both by the size of the arrays). ``batch`` names the rows of the
     metrics table that this run replaces.
 
+    Each of the large tables is written in waves of about ``wave_rows`` rollouts
+    (twice as many for the step metrics; choose it by the size of the arrays and
+    the free disk): a wave reads its source again, shuffles its own share and
+    frees that before the next. Only a hot task or step makes a wave larger.
+
     ``rollouts`` needs ``run_id, step, task_id, prompt_ord, slot, response,
     output_tokens`` plus ``policy_log_probs, old_log_probs, response_mask``.
     """
@@ -76,43 +85,56 @@ def training_step_job(
              ("scored", "advantages", "tokens", "step_metrics", "metrics", "eval_metrics", "eval_summary", "examples")}
     rollouts = rollouts.drop("target", "nums")  # ground truth comes from the task table
     arrays = ["policy_log_probs", "old_log_probs", "response_mask"]
-    joined, matched = attach_tasks_observed(rollouts, tasks)
-    scored = score(joined, reward=reward, scale=scale).drop(*arrays)
-    scored.write.mode("overwrite").partitionBy("run_id").parquet(paths["scored"])
-    n_rollouts = require(matched, n_unmatched=0)["n_rollouts"]
-    buckets = max(buckets, -(-n_rollouts // bucket_rows))
-    scored_t = spark.read.schema(scored.schema).parquet(paths["scored"])
-
-    with ST.bucket_names(spark, "tokens", "advantages") as (tokens_name, adv_name):
-        # Token arrays are laid out by the join key once; the narrow advantages follow them, not the other way round.
-        tokens = ST.write_bucketed(rollouts.select(*ROW_KEYS, *arrays), tokens_name, paths["tokens"], ROW_KEYS, buckets)
-        adv = A.group_advantages(
+    with settings(spark, FREE_SHUFFLES), ST.bucket_names(spark, "tokens", "advantages") as (tokens_name, adv_name):
+        waves, matched, groups = ST.waves_of(rollouts.count(), wave_rows), [], []
+        for i in range(waves):
+            joined, seen = attach_tasks_observed(ST.wave(rollouts, F.xxhash64("task_id"), waves, i), tasks)
+            matched.append(seen)
+            scored = score(joined, reward=reward, scale=scale).drop(*arrays)
+            (scored.write.mode("append" if i else "overwrite").option("partitionOverwriteMode", "static")
+             .option("compression", "zstd").partitionBy("run_id").parquet(paths["scored"]))
+        n_rollouts = require(*matched, n_unmatched=0)["n_rollouts"]
+        buckets, waves = max(buckets, -(-n_rollouts // bucket_rows)), ST.waves_of(n_rollouts, wave_rows)
+        scored_t = spark.read.schema(scored.schema).parquet(paths["scored"])
+
+        # Token arrays are laid out by the group once; the narrow advantages follow them, not the other way round.
+        tokens = ST.write_bucketed(rollouts.select(*ROW_KEYS, *arrays), tokens_name, paths["tokens"],
+                                   A.GROUP_KEYS, buckets, ROW_KEYS, waves)
+
+        def advantages(rows: DataFrame) -> DataFrame:
+            adv, seen = A.observe_groups(A.group_advantages(
+                rows, normalize_by_std=A.normalizes_by_std(loss_type), eps=advantage_eps, stabilized=stabilized), group_size)
+            groups.append(seen)
+            return adv
+
+        adv_t = ST.write_bucketed(
             scored_t.select("run_id", "step", "task_id", "prompt_ord", "slot", "reward", "output_tokens"),
-            normalize_by_std=A.normalizes_by_std(loss_type), eps=advantage_eps, stabilized=stabilized,
-        )
-        adv, groups = A.observe_groups(adv, group_size)
-        adv_t = ST.write_bucketed(adv, adv_name, paths["advantages"], ROW_KEYS, buckets)
-        require(groups, n_ragged=0)
-
-        seqs = LO.sequence_losses(
-            adv_t.join(tokens, ROW_KEYS),
-            clip_range=clip_range, loss_type=loss_type, max_completion_length=max_completion_length,
-            gradient_accumulation_steps=gradient_accumulation_steps, clamp_log_ratio=stabilized,
-        ).withColumn("micro_batch", TS.micro_batch_id(
-            "prompt_ord", "slot", group_size, TS.micro_size(rollout_batch_size, gradient_accumulation_steps)))
-        step_metrics = M.train_step_metrics(seqs, rescale=True, grad_norm=grad_norm)
-        step_metrics.write.mode("overwrite").parquet(paths["step_metrics"])
-    stored = spark.read.schema(step_metrics.schema).parquet(paths["step_metrics"])
-    SK.write_metrics(M.train_metrics_long(stored), paths["metrics"], "train", batch)
-
-    evals = TS.eval_steps(scored_t, eval_every)
-    summary = E.eval_summary(evals, ("run_id", "step"), "exact")
-    summary.write.mode("overwrite").parquet(paths["eval_summary"])
-    summary_t = spark.read.schema(summary.schema).parquet(paths["eval_summary"])
-    SK.write_metrics(M.eval_metrics_long(M.with_best_accuracy(summary_t)), paths["eval_metrics"], "eval", batch)
-    top = E.top_examples(evals, n=10)
-    E.examples_report(top).write.mode("overwrite").parquet(paths["examples"])
-    SK.write_metrics(E.examples_long(top), paths["eval_metrics"], "examples", batch)
+            adv_name, paths["advantages"], A.GROUP_KEYS, buckets, ROW_KEYS, waves, advantages)
+        require(*groups, n_ragged=0)
+
+        waves = ST.waves_of(n_rollouts, 2 * wave_rows)  # rows without text and arrays
+        for i in range(waves):
+            adv, token_rows = (ST.wave(t, F.xxhash64(*A.STEP_KEYS), waves, i) for t in (adv_t, tokens))
+            seqs = LO.sequence_losses(
+                adv.join(token_rows, ROW_KEYS),
+                clip_range=clip_range, loss_type=loss_type, max_completion_length=max_completion_length,
+                gradient_accumulation_steps=gradient_accumulation_steps, clamp_log_ratio=stabilized,
+            ).withColumn("micro_batch", TS.micro_batch_id(
+                "prompt_ord", "slot", group_size, TS.micro_size(rollout_batch_size, gradient_accumulation_steps)))
+            step_metrics = M.train_step_metrics(seqs, rescale=True, grad_norm=grad_norm)
+            with settings(spark, AS_THEY_LIE):
+                step_metrics.write.mode("append" if i else "overwrite").parquet(paths["step_metrics"])
+        stored = spark.read.schema(step_metrics.schema).parquet(paths["step_metrics"])
+        SK.write_metrics(M.train_metrics_long(stored), paths["metrics"], "train", batch)
+
+        evals = TS.eval_steps(scored_t, eval_every)
+        summary = E.eval_summary(evals, ("run_id", "step"), "exact")
+        summary.write.mode("overwrite").parquet(paths["eval_summary"])
+        summary_t = spark.read.schema(summary.schema).parquet(paths["eval_summary"])
+        SK.write_metrics(M.eval_metrics_long(M.with_best_accuracy(summary_t)), paths["eval_metrics"], "eval", batch)
+        top = E.top_examples(evals, n=10)
+        E.examples_report(top).write.mode("overwrite").parquet(paths["examples"])
+        SK.write_metrics(E.examples_long(top), paths["eval_metrics"], "examples", batch)
     return paths
 
 
